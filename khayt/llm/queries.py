@@ -64,7 +64,7 @@ QUERIES = {
     "p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p5_plain": p5_plain, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found, "p10_shares": p10_shares,
 }
 
-_P10 = r"""with w as (select doc_id, list_filter(regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '\p{M}', '', 'g'), '\p{L}+'), x -> x <> '') ws from documents),
+_P10 = r"""with w as (select doc_id, regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '\p{M}', '', 'g'), '\p{L}+') ws from documents),
 g as (select doc_id, i, row_number() over (partition by doc_id, array_to_string(ws[i:i + 4], ' ') order by i) > 1 again
  from (select doc_id, ws, unnest(range(1, len(ws) - 3)) i from w)),
 m as (select doc_id, count(distinct i + k) repeated from g, range(5) r(k) where again group by 1),
