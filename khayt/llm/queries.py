@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from khayt.llm import bpe, components, lookalike, packing, repetition, survivor
-from khayt.runtime import table
+from khayt.llm import bpe, components, lookalike, markup, names, packing, repetition, survivor
+from khayt.runtime import stored, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,24 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivor.narrator_survivors(table(spark, sf_dir, "narrators_canonical"))
 
 
+MARKED_FIELDS = ("full_text_ar", "matn_en")
+
+
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "hadiths").select("source_id", F.inline(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in MARKED_FIELDS])))
+    return rows.where(F.col("source_id").isNotNull() & F.col("text").isNotNull())
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _marked(spark, sf_dir).where(F.col("text").rlike(markup.MAY_HOLD))
+    return markup.read_markup(rows, "text", ["source_id", "field_name"], want=False).where("found").select("source_id", "field_name").distinct()
+
+
+def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of the two fields without its markup, and that of its content regions."""
+    return markup.read_markup(_marked(spark, sf_dir), "text", ["source_id", "field_name"]).select("source_id", "field_name", "clean", "content")
+
+
 #: table, record, field of the texts that p5 brings to one form
 PLAIN_FIELDS = (("hadiths", "source_id", "matn_ar"), ("hadiths", "source_id", "isnad_raw_ar"), ("mentions_resolved", "mention_id", "name_raw"))
 
@@ -41,6 +59,18 @@ def p5_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(spark, sf_dir).select("table_name", "record_id", "field_name", "plain", "odd")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mentions = table(spark, sf_dir, "mentions_resolved").select("mention_id", "name_raw", "canonical_narrator_id").where(F.col("mention_id").isNotNull())
+    meant = mentions.where(F.col("canonical_narrator_id").isNotNull()).select("mention_id")
+    open_ = mentions.where(F.col("canonical_narrator_id").isNull()).select("mention_id", "name_raw").dropna().distinct().join(meant, "mention_id", "left_anti")
+    canonical = table(spark, sf_dir, "narrators_canonical")
+    said = canonical.select("canonical_id", F.explode(F.concat(F.array("name_ar", "name_en"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name")).dropna().distinct()
+    spelt = lookalike.plain_text(open_, "name_raw", ["mention_id"]).select(F.col("mention_id").alias("id"), F.col("plain").alias("name"))
+    persons = lookalike.plain_text(said, "name", ["canonical_id"]).select(F.col("canonical_id").alias("person"), F.col("plain").alias("name"))
+    got = names.same_person(stored(spelt, "spelt"), persons)
+    return got.select(F.col("id").alias("mention_id"), F.col("person").alias("canonical_id"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -61,7 +91,7 @@ def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p5_plain": p5_plain, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found, "p10_shares": p10_shares,
+    "p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_plain": p5_plain, "p7_found": p7_found, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found, "p10_shares": p10_shares,
 }
 
 _P10 = r"""with w as (select doc_id, regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '\p{M}', '', 'g'), '\p{L}+') ws from documents),
