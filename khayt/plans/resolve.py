@@ -218,8 +218,8 @@ p as (select *, row_number() over (partition by name order by coalesce(mention_c
 z as (select *, row_number() over (partition by name order by (id <> rep)::int, id) j from q)
 select any_value(rep) as id, name, arg_min(name_en, j) filter (where name_en is not null) as name_en, arg_min(death_year, j) filter (where death_year is not null) as death_year, arg_min(gender, j) filter (where gender is not null) as gender,
  sum(coalesce(mention_count, 0))::bigint as mention_count, len(list_distinct(flatten(list(keys))))::int as n_keys from z group by name""",
-    "r_near_names": _REC + """a as (select distinct name_ar a from o where name_ar is not null), b as (select distinct name b from r where length(name) > 2)
-p as (select a, b, levenshtein(translate(a, {L}), translate(b, {L})) d from a join b on substr(a, 1, 2) = substr(b, 1, 2) and abs(length(a) - length(b)) <= 2) select a, b, d::int as distance from p where d <= 2""".replace("{L}", _BYTES),
+    "r_near_names": (_REC + """a as (select distinct name_ar a from o where name_ar is not null), b as (select distinct name b from r where length(name) > 2),
+p as (select a, b, levenshtein(translate(a, {L}), translate(b, {L})) d from a join b on substr(a, 1, 2) = substr(b, 1, 2) and abs(length(a) - length(b)) <= 2) select a, b, d::int as distance from p where d <= 2""").replace("{L}", _BYTES),
     "r_neighbours": _CHAIN + "select * from ch",
     "r_estimates": _CHAIN + _YEAR + "select mention, person, estimate from est",
     "r_split": _CHAIN + _YEAR + f""", cu as (select *, case when estimate - lag(estimate) over (partition by person order by estimate, mention) > 80 then 1 else 0 end op from est),
