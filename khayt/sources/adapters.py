@@ -157,7 +157,7 @@ def verse_json(spark: SparkSession, path: str) -> Staged:
     f = "kind string, data struct<verse:struct<path:string,text:array<string>,narrator_chain:struct<parts:array<struct<text:string>>>>,chapter_title:struct<ar:string>>"
     r = R.json(spark, path, f, many=False).where("kind = 'verse_detail'")
     place = lambda i: F.regexp_extract("data.verse.path", r"^/books/([^:]+):(\d+):(\d+):(\d+)$", i)
-    join = lambda c: F.nullif(F.array_join(F.filter(F.transform(c, F.trim), lambda t: t != ""), " "), F.lit(""))
+    join = lambda c: F.nullif(F.array_join(F.filter(F.transform(c, lambda t: F.trim(t)), lambda t: t != ""), " "), F.lit(""))
     r = r.where(place(1) != "").select(place(1).alias("collection_name"), *[place(i + 2).cast("int").alias(c) for i, c in enumerate(("book_number", "chapter_number", "hadith_number"))], join(F.col("data.verse.narrator_chain.parts.text")).alias("isnad_raw_ar"), join(F.col("data.verse.text")).alias("body"), S.safe_str(F.col("data.chapter_title.ar")).alias("chapter_name_ar"))
     full = F.nullif(F.concat_ws(" ", "isnad_raw_ar", "body"), F.lit(""))
     h = _hadiths(r.withColumn("source_id", _id("tusi", F.col("collection_name"), F.col("book_number"), F.col("chapter_number"), F.col("hadith_number"))).withColumn("matn_ar", full).withColumn("full_text_ar", full), "tusi", "shia")
@@ -243,7 +243,7 @@ def list_csv(spark: SparkSession, path: str) -> Staged:
     n, c = R.csv(spark, path, "*narrators*.csv"), R.csv(spark, path, "*hadiths*.csv")
     bios = n.select(pick(n, "id", "narrator_id").alias("external_id"), pick(n, "name", "displayname", "display_name", "fullname").alias("name_en"), pick(n, "arabicname", "arabic_name").alias("name_ar"), F.lower(pick(n, "gender")).alias("gender"), pick(n, "bio", "biography").alias("bio_text")).where("external_id is not null")
     bios = bios.withColumn("bio_id", F.concat(F.lit("muhaddithat:"), "external_id")).withColumn("source", F.lit("muhaddithat")).withColumn("name_ar_normalized", A.normalize_arabic(F.col("name_ar")))
-    ids = F.filter(F.transform(F.split(pick(c, "narrator_ids", "narrators", "chain", "isnad"), ","), F.trim), lambda x: x != "")
+    ids = F.filter(F.transform(F.split(pick(c, "narrator_ids", "narrators", "chain", "isnad"), ","), lambda t: F.trim(t)), lambda x: x != "")
     pairs = c.select(_id("muhaddithat", "muhaddithat", pick(c, "id", "hadith_id")).alias("hadith_id"), F.inline(Q.pairs_in_list(ids)))
     named = bios.select(F.col("external_id").alias("k"), F.coalesce("name_en", "name_ar").alias("n"))
     edges = pairs.join(named.select(F.col("k").alias("from_item"), F.col("n").alias("a")), "from_item", "left").join(named.select(F.col("k").alias("to_item"), F.col("n").alias("b")), "to_item", "left").select(F.coalesce("a", "from_item").alias("from_narrator_name"), F.coalesce("b", "to_item").alias("to_narrator_name"), "hadith_id", F.lit("muhaddithat").alias("source"), F.col("from_item").alias("from_external_id"), F.col("to_item").alias("to_external_id"), F.lit("TRANSMITTED_TO").alias("relation"))
