@@ -86,8 +86,12 @@ def tables() -> dict[str, np.ndarray]:
             fold(c, unicodedata.normalize("NFC", ch))
     pairs[0x0649 << 21 | 0x0654] = 0x0626  # a yeh without dots under a hamza shows as the yeh with hamza
     keys = np.array(sorted(pairs), np.int64)
+    parts = np.zeros(n, np.int64)
+    for k, c in pairs.items():
+        if c != 0x0626 or k >> 21 != 0x0649:
+            parts[c] = k
     return {
-        "kind": kind, "width": width, "at": at, "to": np.array(to, np.uint32), "ccc": ccc, "script": script, "letter": letter,
+        "kind": kind, "width": width, "at": at, "to": np.array(to, np.uint32), "ccc": ccc, "script": script, "letter": letter, "parts": parts,
         "pair": keys, "composed": np.array([pairs[k] for k in keys.tolist()], np.uint32),
     }
 
@@ -113,6 +117,21 @@ def _compose(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     made = np.zeros(len(starts) - 1, bool)
     if not ccc.any():
         return points, starts, made
+    # A composed letter whose own mark comes after the next mark in canonical order is taken apart, if that next mark composes with its letter.
+    heads = np.zeros(len(points) + 1, bool)
+    heads[starts] = True
+    own = np.flatnonzero((ccc[1:] > 0) & (t["parts"][points[:-1]] > 0) & ~heads[1:-1])
+    if len(own):
+        base, mark = t["parts"][points[own]] >> 21, t["parts"][points[own]] & 0x1FFFFF
+        key = base << 21 | points[own + 1]
+        where = np.minimum(np.searchsorted(t["pair"], key), len(t["pair"]) - 1)
+        own = own[(t["pair"][where] == key) & (ccc[own + 1] < t["ccc"][mark])]
+        if len(own):
+            parts = t["parts"][points[own]]
+            points = np.insert(points, own + 1, (parts & 0x1FFFFF).astype(np.uint32))
+            points[own + np.arange(len(own))] = (parts >> 21).astype(np.uint32)
+            starts = starts + np.searchsorted(own, starts)
+            ccc = t["ccc"][points]
     first = np.zeros(len(points), bool)
     first[starts[:-1][starts[:-1] < len(points)]] = True
     cluster = np.cumsum((ccc == 0) | first)

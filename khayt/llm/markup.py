@@ -214,9 +214,10 @@ def spans(text: str) -> list[tuple[int, int, str]]:
             if m.end() > m.start():
                 found.append((m.start(), m.end(), name))
     numbers = [int(m.group(1)) for m in _LIST_LINES.finditer(text)]
-    if numbers and numbers != [*range(numbers[0], numbers[0] + len(numbers))]:
-        found = [s for s in found if not (s[2] == "list" and text[s[0] : s[1]].strip()[:1].isdigit())]  # numbers of verses or pages, in no order
-    return sorted(found)
+    if numbers and (len(numbers) < 2 or numbers != [*range(numbers[0], numbers[0] + len(numbers))]):
+        found = [s for s in found if not (s[2] == "list" and text[s[0] : s[1]].strip()[:1].isdigit())]  # the number of a text, verse or page
+    whole = [(a, b) for a, b, kind in found if kind in ("code", "formula")]
+    return sorted(s for s in found if s[2] in ("code", "formula") or not any(a <= s[0] and s[1] <= b for a, b in whole))
 
 
 def line_ratios(text: str, found: list[tuple[int, int, str]] | None = None) -> np.ndarray:

@@ -275,7 +275,7 @@ def profiles(persons: DataFrame) -> DataFrame:
 
     persons: (person, name), plain names, repeats allowed.
     """
-    said = stored(_parsed(persons.dropna().distinct().withColumnRenamed("person", "id"), True).withColumnRenamed("id", "person").distinct(), "names")
+    said = stored(_parsed(persons.select(F.col("person").alias("id"), "name").dropna().distinct(), True).withColumnRenamed("id", "person").distinct(), "names")
     by = ["person", "script"]
     fill = {
         "k": said.where("k is not null").select(*by, F.col("k").alias("k2")).distinct(),
