@@ -77,7 +77,7 @@ NO_ELEMENT = ("", "n/a", "unknown")
 def narrator_links(canonical: DataFrame, matches: DataFrame, mentions: DataFrame) -> DataFrame:
     """(left, right): links between canonical ids on record, from accepted matches, shared source ids and mentions resolved in several ways."""
     known = canonical.select("canonical_id").dropna().distinct()
-    accepted = matches.where(F.lower(F.trim("decision")) == "accepted").select(with_prefix(F.col("left_id")).alias("left"), with_prefix(F.col("right_id")).alias("right"))
+    accepted = matches.where(F.lower("decision") == "accepted").select(with_prefix(F.col("left_id")).alias("left"), with_prefix(F.col("right_id")).alias("right"))
     sources = canonical.select("canonical_id", F.explode("source_ids").alias("e")).select("canonical_id", F.lower(F.regexp_replace("e", r"(?U)^\s+|\s+$", "")).alias("e"))
     shared = links_by_element(sources.where(~F.col("e").isin(*NO_ELEMENT)), "canonical_id", "e")
     twice = links_by_element(mentions.select("canonical_narrator_id", "mention_id"), "canonical_narrator_id", "mention_id")
