@@ -172,7 +172,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int = 20, damping:
     out = weight.groupBy("from_id").agg(F.sum("n").alias("all"))
     flow, flow_at = store(weight.join(out, "from_id").select("from_id", "to_id", (F.col("n") / F.col("all")).alias("w")), "flow")
     release(spark, at)
-    ids = nodes.select("id").distinct()
+    ids, _ = store(nodes.select("id").distinct(), "ids")
     rank, rank_at = ids.withColumn("rank", F.lit(1.0 - damping)), None
     for i in range(iterations):
         gain = flow.join(rank, flow.from_id == rank.id).groupBy("to_id").agg(F.sum(F.col("rank") * F.col("w")).alias("gain"))
@@ -227,7 +227,7 @@ def betweenness(nodes: DataFrame, edges: DataFrame, pivots: int | None = None, s
     back from the deepest level. Parallel edges are one.
     """
     spark = nodes.sparkSession
-    ids = nodes.select("id").distinct()
+    ids, _ = store(nodes.select("id").distinct(), "ids")
     links, _ = store(edges.where("from_id <> to_id").select("from_id", "to_id").distinct(), "links")
     total = ids.count()
     chosen = ids if pivots is None or pivots >= total else ids.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(pivots)

@@ -45,7 +45,8 @@ def similar_classes(classes: DataFrame, threshold: float = 0.5, max_df: int | No
         .select("class_id", F.size("ranked").alias("n"), F.transform("ranked", lambda x: x["t"]).alias("words"), F.size(F.filter("ranked", lambda x: x["df"] <= (max_df if max_df is not None else 2**62))).alias("rare"))
     )
     ranked = stored(ranked.where("rare > 0"), "ranked")
-    keep = F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1
+    # A head that reaches past a set's rare words holds all of them, so two sets that share a rare word, and a word of their heads, share a rare word of their heads.
+    keep = F.least("rare", F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1)
     heads = ranked.select("class_id", "n", F.explode(F.slice("words", F.lit(1), keep.cast("int"))).alias("t"))
     a, b = (heads.select(F.col("class_id").alias(f"class_{x}"), F.col("n").alias(f"n_{x}"), "t") for x in "ab")
     met = a.join(b, "t").where((F.col("class_a") < F.col("class_b")) & (F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b"))).select("class_a", "class_b").distinct()

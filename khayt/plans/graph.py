@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,32 +21,40 @@ PERIODS = (("evt:1", "first century", 1, 100), ("evt:2", "second civil strife",
 class Tables:
     """Nodes and mentions of one data directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, keep: bool = False) -> None:
+        """keep: tables that several results of one query read are stored once."""
+        self.spark, self.dir, self.keep, self.made = spark, sf_dir, keep, {}
+
+    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if not self.keep:
+            return make()
+        if name not in self.made:
+            self.made[name] = stored(make(), name)
+        return self.made[name]
 
     def raw(self, name: str) -> DataFrame:
         return table(self.spark, self.dir, name)
 
     def hadiths(self) -> DataFrame:
-        return G.hadith_nodes(self.raw("hadiths"))
+        return self._once("hadiths", lambda: G.hadith_nodes(self.raw("hadiths")))
 
     def narrators(self) -> DataFrame:
-        return G.narrator_nodes(self.raw("narrators_canonical"))
+        return self._once("narrators", lambda: G.narrator_nodes(self.raw("narrators_canonical")))
 
     def collections(self) -> DataFrame:
         return G.collection_nodes(self.raw("collections"))
 
     def mentions(self) -> DataFrame:
-        return G.surviving_mentions(self.raw("mentions_resolved"), self.hadiths())
+        return self._once("mentions", lambda: G.surviving_mentions(self.raw("mentions_resolved"), self.hadiths()))
 
     def transmitted(self) -> DataFrame:
-        return G.transmitted_to(self.mentions(), self.narrators())
+        return self._once("transmitted", lambda: G.transmitted_to(self.mentions(), self.narrators()))
 
     def narrated(self) -> DataFrame:
-        return G.narrated(self.mentions(), self.narrators())
+        return self._once("narrated", lambda: G.narrated(self.mentions(), self.narrators()))
 
     def appears(self) -> DataFrame:
-        return G.appears_in(self.hadiths(), self.collections())
+        return self._once("appears", lambda: G.appears_in(self.hadiths(), self.collections()))
 
 
 def g_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +97,7 @@ def g_appears_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def g_missing_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Narrators that chains lead to and that are not on record, with the edges lost."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, keep=True)
     pairs = Q.consecutive_pairs(t.mentions(), ["hadith_id", "chain_index"], ["position_in_chain", "mention_id"], "canonical_narrator_id", ["position_in_chain"])
     edges = pairs.select(F.col("from_item").alias("from_id"), F.col("to_item").alias("to_id"), F.col("position_in_chain").alias("position"), "hadith_id").distinct()
     return G.missing_endpoints(stored(edges, "edges"), t.narrators(), t.narrators())
@@ -117,9 +127,9 @@ def v2_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("id").alias("collection_id"), F.col("expected_count").alias("expected"), "actual", F.round(off.cast("double"), 6).alias("deviation_pct"))
 
 
-def v3_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def v3_orphans(spark: SparkSession, sf_dir: str, known: Tables | None = None) -> DataFrame:
     """Narrators without any edge, those known from biographies only left out."""
-    t = Tables(spark, sf_dir)
+    t = known or Tables(spark, sf_dir, keep=True)
     e = t.transmitted()
     ends = e.select(F.col("from_id").alias("id")).unionByName(e.select(F.col("to_id").alias("id"))).unionByName(t.narrated().select(F.col("from_id").alias("id")))
     return t.narrators().where("coalesce(attestation, '') <> 'biographical_only'").join(ends, "id", "left_anti").select(F.col("id").alias("narrator_id"), F.col("name_en").alias("name"))
@@ -133,11 +143,11 @@ def v4_dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v5_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per corpus: edges to collections, those without a number in their book, hadiths without a first narrator, orphan narrators."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, keep=True)
     h = t.hadiths()
     a = t.appears().groupBy(F.col("source_corpus").alias("source")).agg(F.count(F.lit(1)).alias("appears_in_edges"), F.count_if(F.expr("hadith_number_in_book is null")).alias("null_in_book_ordinal"))
     w = h.join(t.narrated().select(F.col("to_id").alias("id")), "id", "left_anti").groupBy(F.col("source_corpus").alias("source")).agg(F.count(F.lit(1)).alias("hadiths_without_narrated"))
-    o = v3_orphans(spark, sf_dir).join(t.narrators().select(F.col("id").alias("narrator_id"), "source_corpus"), "narrator_id").groupBy(F.coalesce("source_corpus", F.lit("unknown")).alias("source")).agg(F.count(F.lit(1)).alias("orphan_narrators"))
+    o = v3_orphans(spark, sf_dir, t).join(t.narrators().select(F.col("id").alias("narrator_id"), "source_corpus"), "narrator_id").groupBy(F.coalesce("source_corpus", F.lit("unknown")).alias("source")).agg(F.count(F.lit(1)).alias("orphan_narrators"))
     out = a.join(w, "source", "full").join(o, "source", "full")
     return out.select("source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("appears_in_edges", "null_in_book_ordinal", "hadiths_without_narrated", "orphan_narrators")])
 
@@ -148,7 +158,7 @@ def v5_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v6_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hadiths, their edges to collections, and collections, per corpus."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, keep=True)
     h = t.hadiths().groupBy(F.col("source_corpus").alias("source")).agg(F.count(F.lit(1)).alias("hadiths"))
     a = t.appears().groupBy(F.col("source_corpus").alias("source")).agg(F.count(F.lit(1)).alias("appears_in_edges"))
     c = t.collections().groupBy(F.col("source_corpus").alias("source")).agg(F.count(F.lit(1)).alias("collections"))
@@ -159,7 +169,7 @@ def v6_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v6_exclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First narrators all of whose hadiths are of one corpus, and edges that start at them."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, keep=True)
     per = t.narrated().join(t.hadiths().select(F.col("id").alias("to_id"), "source_corpus"), "to_id").groupBy("from_id").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.expr("source_corpus = 'sanadset'")).alias("own"))
     only = per.where("all = own").select("from_id")
     return only.agg(F.count(F.lit(1)).alias("exclusive_narrators")).crossJoin(F.broadcast(t.transmitted().join(only, "from_id", "left_semi").agg(F.count(F.lit(1)).alias("edges_from_them"))))
@@ -206,7 +216,7 @@ def g_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def g_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges between narrators that have not been deleted."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, keep=True)
     n = stored(t.narrators().select("id"), "nodes")
     gone = t.raw("deletions").where("table_name = 'narrators_canonical'").select(F.col("record_key").alias("id"))
     return G.prune(n, n.join(gone, "id", "left_anti"), t.transmitted())[1].groupBy("from_id").agg(F.count(F.lit(1)).alias("edges"))
