@@ -47,9 +47,11 @@ def similar_classes(classes: DataFrame, threshold: float = 0.5, max_df: int | No
     ranked = stored(ranked.where("rare > 0"), "ranked")
     # A head that reaches past a set's rare words holds all of them, so two sets that share a rare word, and a word of their heads, share a rare word of their heads.
     keep = F.least("rare", F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1)
-    heads = ranked.select("class_id", "n", F.explode(F.slice("words", F.lit(1), keep.cast("int"))).alias("t"))
-    a, b = (heads.select(F.col("class_id").alias(f"class_{x}"), F.col("n").alias(f"n_{x}"), "t") for x in "ab")
-    met = a.join(b, "t").where((F.col("class_a") < F.col("class_b")) & (F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b"))).select("class_a", "class_b").distinct()
+    heads = ranked.select("class_id", "n", F.posexplode(F.slice("words", F.lit(1), keep.cast("int"))).alias("at", "t"))
+    a, b = (heads.select(F.col("class_id").alias(f"class_{x}"), F.col("n").alias(f"n_{x}"), F.col("at").alias(f"at_{x}"), "t") for x in "ab")
+    # What follows the first shared word bounds the overlap of two sets; it must reach what the threshold asks of their sizes.
+    enough = (1 + F.least(F.col("n_a") - F.col("at_a") - 1, F.col("n_b") - F.col("at_b") - 1)) * F.lit(1 + threshold) + 1e-9 >= F.lit(threshold) * (F.col("n_a") + F.col("n_b"))
+    met = a.join(b, "t").where((F.col("class_a") < F.col("class_b")) & (F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")) & enough).select("class_a", "class_b").distinct()
     sides = [ranked.select(F.col("class_id").alias(f"class_{x}"), F.col("words").alias(f"w_{x}"), F.slice("words", F.lit(1), F.col("rare")).alias(f"r_{x}")) for x in "ab"]
     met = met.join(sides[0], "class_a").join(sides[1], "class_b")
     common = F.size(F.array_intersect("w_a", "w_b"))
