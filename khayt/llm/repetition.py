@@ -1,6 +1,7 @@
 """Repetition inside one document: lines first, then the document.
 
-Lines are judged one by one: a line fails if it says nothing (no letters), or if most of its words already stood in the same order earlier in the text. Failed lines are removed,
+Lines are judged one by one: a line fails if it says nothing (no letters), if it is navigation (few words between separators), or if most of its words already stood in the same order
+earlier in the text. Failed lines are removed,
 and a document that loses too much of its text is rejected. What is lost to repetition is counted in words, by windows of consecutive words, since repeated
 passages begin and end within lines. All is done on code-point arrays of whole batches; texts are whole, whatever their length.
 """
@@ -21,6 +22,9 @@ from khayt.llm import codepoints as cp
 
 WINDOW = 5
 LINE_SHARE = 0.5
+#: A line with at least so many separators and at most so many words to each is navigation.
+SEPARATORS, NAV_SEPARATORS, NAV_WORDS = "|›»•·→", 2, 3
+_BARS = np.array([ord(c) for c in SEPARATORS], np.uint32)
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -108,7 +112,8 @@ def judge(array: pa.Array, window: int = WINDOW, line_share: float = LINE_SHARE,
         n = int(line[-1]) + 1 if len(line) else 0
         some = np.bincount(line[points > 32], minlength=n) > 0 if n else np.zeros(0, bool)
         said, again = np.bincount(line[at], minlength=n), np.bincount(line[at[rep]], minlength=n)
-        fails = some & ((said == 0) | (again > line_share * said))
+        bars = np.bincount(line[np.isin(points, _BARS)], minlength=n)
+        fails = some & ((said == 0) | ((bars >= NAV_SEPARATORS) & (said <= NAV_WORDS * (bars + 1))) | (again > line_share * said))
         of = cp.rows_of(starts)[np.flatnonzero(opens)]
         got["lines"].append(np.bincount(of[some], minlength=size))
         got["failed"].append(np.bincount(of[fails], minlength=size))

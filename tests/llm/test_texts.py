@@ -123,3 +123,5 @@ def test_repetition_frame(spark):
     assert len(rows) == 7 and (first["words"], first["repeated"], first["failed_lines"], first["rejected"], first["kept"]) == (15, 6, 1, True, f"{line}\nother words here")
     assert by[2]["share"] == 0 and by[2]["kept"] is None and not by[3]["rejected"] and by[4]["words"] == 0 and by[5]["rejected"] and by[6]["failed_lines"] == 1
     assert R.repetition(d.limit(0), "id", "t").count() == 0
+    nav = R.judge(pa.array(["Home | About us | Contact\nA line of text | with one bar"]))
+    assert nav["failed"].tolist() == [1] and nav["text"].to_pylist() == ["A line of text | with one bar"]
