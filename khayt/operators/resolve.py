@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from khayt.functions import scalars as S
 from khayt.functions.similarity import ratio_udf, token_set_ratio
 from khayt.operators.graph import components
-from khayt.runtime import stored
+from khayt.runtime import one_row, stored
 
 # Words that join names and tell nobody apart.
 CONNECTORS = ("بن", "ابن", "ابو", "ابي", "ام", "ال", "بنت", "عن")
@@ -251,7 +251,7 @@ def pair_quality(truth: DataFrame, found: DataFrame) -> DataFrame:
 
     met = truth.select("id", F.col("label").alias("t")).join(found.select("id", F.col("label").alias("f")), "id")
     t, f, b = pairs(truth.select("label"), "label"), pairs(found.select("label"), "label"), pairs(met, "t", "f")
-    row = t.select(F.col("p").alias("true_pairs")).crossJoin(F.broadcast(f.select(F.col("p").alias("found_pairs")))).crossJoin(F.broadcast(b.select(F.col("p").alias("both"))))
+    row = one_row(t.select(F.col("p").alias("true_pairs")), f.select(F.col("p").alias("found_pairs")), b.select(F.col("p").alias("both")))
     row = row.withColumn("precision", F.coalesce(F.try_divide("both", "found_pairs"), F.lit(1.0))).withColumn("recall", F.coalesce(F.try_divide("both", "true_pairs"), F.lit(1.0)))
     return row.withColumn("f1", F.coalesce(F.try_divide(F.lit(2.0) * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
 

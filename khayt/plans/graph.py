@@ -12,7 +12,7 @@ from khayt.functions import arabic as A
 from khayt.functions import scalars as S
 from khayt.operators import graph as G
 from khayt.operators import sequence as Q
-from khayt.runtime import stored, table
+from khayt.runtime import one_row, stored, table
 
 #: Periods that the overlay relates narrators to.
 PERIODS = (("evt:1", "first century", 1, 100), ("evt:2", "second civil strife", 60, 73), ("evt:3", "change of dynasty", 129, 132), ("evt:4", "inquisition", 218, 234), ("evt:5", "compilers", 200, 310), ("evt:6", "later age", 300, 450))
@@ -115,7 +115,7 @@ def v1_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = stored(Tables(spark, sf_dir).transmitted().select("from_id", "to_id").distinct(), "pairs")
     back = e.select(F.col("from_id").alias("to_id"), F.col("to_id").alias("from_id"))
     both = e.where("from_id < to_id").join(back, ["from_id", "to_id"], "left_semi").agg(F.count(F.lit(1)).alias("reciprocal_pairs"))
-    return e.agg(F.count_if(F.expr("from_id = to_id")).alias("self_loops")).crossJoin(F.broadcast(both))
+    return one_row(e.agg(F.count_if(F.expr("from_id = to_id")).alias("self_loops")), both)
 
 
 def v2_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +172,7 @@ def v6_exclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir, keep=True)
     per = t.narrated().join(t.hadiths().select(F.col("id").alias("to_id"), "source_corpus"), "to_id").groupBy("from_id").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.expr("source_corpus = 'sanadset'")).alias("own"))
     only = per.where("all = own").select("from_id")
-    return only.agg(F.count(F.lit(1)).alias("exclusive_narrators")).crossJoin(F.broadcast(t.transmitted().join(only, "from_id", "left_semi").agg(F.count(F.lit(1)).alias("edges_from_them"))))
+    return one_row(only.agg(F.count(F.lit(1)).alias("exclusive_narrators")), t.transmitted().join(only, "from_id", "left_semi").agg(F.count(F.lit(1)).alias("edges_from_them")))
 
 
 def v7_reciprocal(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,5 +98,13 @@ def small(df: DataFrame, what: str = "side", max_bytes: int = BROADCAST_BYTES) -
     return F.broadcast(out) if stored_size(df.sparkSession, where) * 4 <= max_bytes else out
 
 
+def one_row(*rows: DataFrame) -> DataFrame:
+    """Frames of one row each, side by side: united, then the one value of each column taken. No join."""
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])
+
+
 def data_dir(default: str = "/root/testdata/sf0.1") -> str:
     return os.environ.get("BENCH_SF_DIR", default)
