@@ -10,8 +10,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a side may be broadcast after it has been counted; about 64 MB at 64 bytes a row.
-BROADCAST_ROWS = 1_000_000
 #: Bytes up to which a side may be broadcast after it has been measured.
 BROADCAST_BYTES = 32 << 20
 
@@ -84,18 +82,15 @@ def _clean() -> None:
             shutil.rmtree(where.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
 
 
-def stored_size(spark: SparkSession, where: str) -> int:
-    path, fs = _path(spark, where)
-    return int(fs.getContentSummary(path).getLength())
-
-
 def small(df: DataFrame, what: str = "side", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Store a side of a join and mark it for broadcast only if what was written is small (zstd: about a fourth of its size in memory).
+    """Store a side of a join and mark it for broadcast only if what was written is small: its values are measured, 16 bytes for a fixed one, a text by its length.
 
     Beyond the bound the stored side is returned unmarked and the join shuffles.
     """
-    out, where = store(df, what)
-    return F.broadcast(out) if stored_size(df.sparkSession, where) * 4 <= max_bytes else out
+    out = stored(df, what)
+    widths = [F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 if f.dataType.simpleString() == "string" else F.lit(16) for f in out.schema]
+    size = out.agg(F.sum(sum(widths, F.lit(0)))).first()[0] or 0
+    return F.broadcast(out) if size <= max_bytes else out
 
 
 def one_row(*rows: DataFrame) -> DataFrame:
