@@ -184,7 +184,8 @@ def _html(text: str) -> tuple[list[tuple[int, int, str, str]], str]:
         if m := cut.search(text):
             name = re.match(r"</?([A-Za-z0-9:-]*)", m.group())
             word = name.group(1).lower() if name and kind == "tag" else ""
-            if kind == "reference" or not word or word in ELEMENTS or "=" in m.group():
+            begun = len(word) > 1 and m.group()[1:].isascii() and m.group().lstrip("</").isalpha() and any(e.startswith(word) for e in ELEMENTS)
+            if kind == "reference" or not word or word in ELEMENTS or begun or "=" in m.group():
                 if kind == "tag" and not word and m.group() in ("<", "</"):
                     continue
                 spans.append((m.start(), len(text), kind, ""))

@@ -52,7 +52,7 @@ def test_plain_text_frame(spark):
 
 
 MARKED = {
-    "<p>x": "tag", "a <span class=\"": "tag", "a</td></tr>": "tag", "a <!-- p. 3 --> b": "comment", "a &nbsp;b": "reference", "a &amp;nbsp; b": "reference", "cut &nbsp": "reference", "x &#1548; y": "reference", "## Head\n\ntext": "heading",
+    "<p>x": "tag", "cut off <spa": "tag", "cut </di": "tag", "a <span class=\"": "tag", "a</td></tr>": "tag", "a <!-- p. 3 --> b": "comment", "a &nbsp;b": "reference", "a &amp;nbsp; b": "reference", "cut &nbsp": "reference", "x &#1548; y": "reference", "## Head\n\ntext": "heading",
     "Head\n=====\ntext": "heading", "== Head ==\nx": "heading", "a **bold** b": "bold", "an *em* b": "emphasis", "an _em_ b": "emphasis", "a `code` b": "code", "```\nx = 1\n```": "code", "[a](https://x.y/1)": "link", "see [https://x.y lab] z": "outer link",
     "[[a|b]] c": "wiki link", "a ''b'' c": "wiki mark", "a '''b''' c": "wiki mark", "x{{cite|p=1}} y": "template", "{| class=\"t\"\n|-\n| 1 || 2\n|}": "wiki table", "| a | b |\n|---|---|\n| c | d |": "table", "t\n\n- a\n- b": "list",
     "1. a\n2. b": "list", "> q\n>\n> r": "quote", "\\textbf{x} y": "command", "\\begin{quote}x": "command", "a \\( \\tfrac{1}{2} \\) b": "formula", "a $\\frac{1}{4}$ b": "formula",
