@@ -40,7 +40,7 @@ def safe_str(c: Column) -> Column:
 
 def safe_int(c: Column) -> Column:
     """Whole part of a number in text; null if it is none or too large."""
-    return F.expr("null").cast("int") if c is None else F.trim(c.cast("string")).try_cast("double").try_cast("int")
+    return F.trim(c.cast("string")).try_cast("double").try_cast("int")
 
 
 def normalize_grade(c: Column) -> Column:

@@ -270,6 +270,9 @@ SQL = {
     "g_overlay": _BASE + f"select id, e as event_id, birth_year_ah, death_year_ah from n join (values {', '.join(f'''('{e}', {a}, {b})''' for e, _, a, b in PERIODS)}) v(e, a, b) on birth_year_ah <= b and death_year_ah >= a where birth_year_ah between 1 and 1500 and death_year_ah between birth_year_ah and birth_year_ah + 120",
     "g_degrees": _BASE + "select id, sum(i)::bigint as in_degree, sum(o)::bigint as out_degree from (select from_id id, 0 i, 1 o from t union all select to_id, 1, 0 from t) group by 1",
     "g_components": _BASE + ", l as materialized (select distinct from_id a, to_id b from t union select distinct to_id, from_id from t), reach as (select a, a r from (select distinct a from l) union select l.b, reach.r from reach join l on reach.a = l.a) select a as id, min(r) as component from reach group by 1",
+    "g_pagerank": _BASE + """, o as (select from_id, count(*) n from t group by 1), fl as materialized (select t.from_id, t.to_id, count(*)::double / any_value(o.n) w from t join o on t.from_id = o.from_id group by all),
+pr(i, id, rank) as (select 0, id, 0.15::double from n union all (with cur as (select * from pr), g as (select fl.to_id, sum(cur.rank * fl.w) s from cur join fl on fl.from_id = cur.id group by 1)
+ select cur.i + 1, cur.id, 0.15 + 0.85 * coalesce(g.s, 0) from cur left join g on g.to_id = cur.id where cur.i < 20)) select id, round(rank, 6) as rank from pr where i = 20""",
     "g_upsert": f"""with a as (select canonical_id id, * from {_latest('narrators_canonical', 'canonical_id', _NCOLS, "loaded_at < timestamp '2024-01-01'")}), b as (select canonical_id id, * from {_latest('narrators_canonical', 'canonical_id', _NCOLS, "loaded_at >= timestamp '2024-01-01'")})
  select coalesce(a.id, b.id) as id, {_UP}, case when a.id is null then 'created' when b.id is not null then 'merged' else 'kept' end as merge from a full join b on a.id = b.id""",
     "g_prune": _BASE + ", k as (select id from n where id not in (select record_key from deletions where table_name = 'narrators_canonical')) select from_id, count(*) as edges from t where from_id in (select id from k) and to_id in (select id from k) group by 1",

@@ -234,6 +234,15 @@ select case when f then 'tabaqa_estimate' else death_date_precision end as death
 pr as (select distinct least(l, r) a, greatest(l, r) b from (select case when starts_with(left_id, 'nar:') then left_id else 'nar:' || left_id end l, case when starts_with(right_id, 'nar:') then right_id else 'nar:' || right_id end r from narrator_matches where lower(trim(decision)) = 'accepted') where l <> r),
 ct as (select person, count(*) k from tp group by 1)
 select a, b, round(coalesce((select count(*) from tp x join tp y on x.x = y.x where x.person = a and y.person = b)::double / nullif(least(coalesce(ca.k, 0), coalesce(cb.k, 0)), 0), 0.0), 6) as overlap from pr left join ct ca on ca.person = a left join ct cb on cb.person = b""",
+    "r_unify": (_CHAIN + """, nb as (select person, x, count(*) n from (select person, unnest([previous, following]) x from ch) where x is not null group by all), tp as (select * from nb qualify row_number() over (partition by person order by n desc, x) <= 20),
+pr as (select distinct least(l, r) a, greatest(l, r) b from (select case when starts_with(left_id, 'nar:') then left_id else 'nar:' || left_id end l, case when starts_with(right_id, 'nar:') then right_id else 'nar:' || right_id end r from narrator_matches where lower(trim(decision)) = 'accepted') where l <> r),
+ct as (select person, count(*) k from tp group by 1),
+ov as (select a, b, round(coalesce((select count(*) from tp x join tp y on x.x = y.x where x.person = a and y.person = b)::double / nullif(least(coalesce(ca.k, 0), coalesce(cb.k, 0)), 0), 0.0), 6) v from pr left join ct ca on ca.person = a left join ct cb on cb.person = b),
+rr as (select case when starts_with(canonical_id, 'nar:') then canonical_id else 'nar:' || canonical_id end id, death_year_ah y, lower(trim(death_year_provenance)) p, nullif(lower(trim(gender)), 'unknown') g from {REC}),
+fg as (select distinct case when starts_with(canonical_id, 'nar:') then canonical_id else 'nar:' || canonical_id end id from narrators_canonical where over_merged),
+mm as (select a || '+' || b seed, v, unnest([a, b]) m from ov), gg as (select seed, any_value(v) v, count(rr.id) n, count(fg.id) f, max(y) filter (where p = 'corroborated') - min(y) filter (where p = 'corroborated') sure, max(y) - min(y) spread, count(distinct g) filter (where g in ('male', 'female')) k
+ from mm left join rr on rr.id = m left join fg on fg.id = rr.id group by seed)
+select seed, case when n < 2 then 'too_few' when f > 0 then 'flagged' when sure > 2 then 'years' when spread > 50 then 'spread' when k > 1 then 'gender' when v < 0.3 then 'context' else 'unify' end as verdict from gg""").replace("{REC}", _latest("narrators_canonical", "canonical_id", BIO)),
     "r_quality": f"""with m as (select canonical_narrator_id t, {_N('name_raw')} f from {_latest('mentions_resolved', 'mention_id', ('canonical_narrator_id', 'name_raw'))} where canonical_narrator_id is not null and name_raw is not null),
 a as (select sum(n * (n - 1) / 2)::double p from (select count(*) n from m group by t)), b as (select sum(n * (n - 1) / 2)::double p from (select count(*) n from m group by f)), c as (select sum(n * (n - 1) / 2)::double p from (select count(*) n from m group by t, f))
 select a.p as true_pairs, b.p as found_pairs, c.p as both, round(c.p / b.p, 6) as precision, round(c.p / a.p, 6) as recall, round(2 * (c.p / b.p) * (c.p / a.p) / (c.p / b.p + c.p / a.p), 6) as f1 from a, b, c""",
