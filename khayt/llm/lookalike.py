@@ -117,15 +117,17 @@ def _compose(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     made = np.zeros(len(starts) - 1, bool)
     if not ccc.any():
         return points, starts, made
-    # A composed letter whose own mark comes after the next mark in canonical order is taken apart, if that next mark composes with its letter.
+    # A composed letter is taken apart if a mark on it comes before its own in canonical order and composes with the bare letter.
     heads = np.zeros(len(points) + 1, bool)
     heads[starts] = True
-    own = np.flatnonzero((ccc[1:] > 0) & (t["parts"][points[:-1]] > 0) & ~heads[1:-1])
-    if len(own):
-        base, mark = t["parts"][points[own]] >> 21, t["parts"][points[own]] & 0x1FFFFF
-        key = base << 21 | points[own + 1]
+    letter = np.maximum.accumulate(np.where((ccc == 0) | heads[:-1], np.arange(len(points)), -1))
+    mark = np.flatnonzero((ccc > 0) & ~heads[:-1])
+    mark = mark[t["parts"][points[letter[mark]]] > 0]
+    if len(mark):
+        parts = t["parts"][points[letter[mark]]]
+        key = parts >> 21 << 21 | points[mark]
         where = np.minimum(np.searchsorted(t["pair"], key), len(t["pair"]) - 1)
-        own = own[(t["pair"][where] == key) & (ccc[own + 1] < t["ccc"][mark])]
+        own = np.unique(letter[mark][(t["pair"][where] == key) & (ccc[mark] < t["ccc"][parts & 0x1FFFFF])])
         if len(own):
             parts = t["parts"][points[own]]
             points = np.insert(points, own + 1, (parts & 0x1FFFFF).astype(np.uint32))
@@ -162,6 +164,26 @@ def _compose(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return points[keep], left[starts], made
 
 
+def _digits(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A lone digit that touches a letter of the Arabic script stands for a letter; which rows had one."""
+    t = tables()
+    rows = np.zeros(len(starts) - 1, bool)
+    digit = np.flatnonzero((points == 0x0661) | (points == 0x0665))
+    if not len(digit):
+        return points, rows
+    row = cp.rows_of(starts)
+    arab = (t["script"][points] == 2) | ((points >= 0x064B) & (points <= 0x065F))  # a letter, or the mark on one
+    number = (points >= 0x0660) & (points <= 0x0669)
+    before, after = np.maximum(digit - 1, 0), np.minimum(digit + 1, len(points) - 1)
+    has_b, has_a = (digit > 0) & (row[before] == row[digit]), (digit < len(points) - 1) & (row[after] == row[digit])
+    lone = ~(has_b & number[before]) & ~(has_a & number[after])
+    digit = digit[lone & ((has_b & arab[before]) | (has_a & arab[after]))]
+    points = points.copy()
+    points[digit] = np.where(points[digit] == 0x0661, DIGIT_LETTERS[0x0661], DIGIT_LETTERS[0x0665])
+    rows[row[digit]] = True
+    return points, rows
+
+
 def plain_points(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(code points, row starts, changed): the plain form of every row, and which rows held what shows as something plainer or not at all."""
     t = tables()
@@ -174,21 +196,12 @@ def plain_points(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np
     plain = (kind == FOLD) | ((kind == LATIN) & ~own[row])
     changed = cp.any_in_row(plain, starts)
     points, starts = _gather(points, starts, plain)
-    # A lone digit that touches a letter of the Arabic script stands for a letter.
-    digit = np.flatnonzero((points == 0x0661) | (points == 0x0665))
-    if len(digit):
-        row = cp.rows_of(starts)
-        arab = t["script"][points] == 2
-        number = (points >= 0x0660) & (points <= 0x0669)
-        before, after = np.maximum(digit - 1, 0), np.minimum(digit + 1, len(points) - 1)
-        has_b, has_a = (digit > 0) & (row[before] == row[digit]), (digit < len(points) - 1) & (row[after] == row[digit])
-        lone = ~(has_b & number[before]) & ~(has_a & number[after])
-        digit = digit[lone & ((has_b & arab[before]) | (has_a & arab[after]))]
-        points = points.copy()
-        points[digit] = np.where(points[digit] == 0x0661, DIGIT_LETTERS[0x0661], DIGIT_LETTERS[0x0665])
-        changed[row[digit]] = True
-    points, starts, made = _compose(points, starts)
-    return points, starts, changed | made
+    while True:  # a digit that became a letter may compose with its marks, which may bring letters to other digits
+        points, starts, made = _compose(points, starts)
+        points, hit = _digits(points, starts)
+        changed |= made | hit
+        if not hit.any():
+            return points, starts, changed
 
 
 def plain_array(array: pa.Array) -> tuple[pa.Array, np.ndarray]:
