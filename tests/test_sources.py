@@ -69,7 +69,7 @@ def test_all_adapters(spark, raw, tmp_path):
     assert rows(e.where("_source = 'itqan'"), "from_narrator_name", "to_narrator_name", "relation") == [("مالك", "نافع", "STUDIED_UNDER")]
     assert rows(e.where("_source = 'muhaddithat'"), "from_narrator_name", "to_narrator_name") == [("Aisha", "Amra"), ("Amra", "3")]
     b = tables["narrators_bio"]
-    assert rows(b.where("_source = 'itqan'"), "bio_id", "death_year_ah", "generation", "trustworthiness") == [("itqan:1", 179, "taba_tabii", "thiqa"), ("itqan:2", None, "sahabi", None)]
+    assert rows(b.where("_source = 'itqan'"), "bio_id", "death_year_ah", "generation", "trustworthiness") == [("itqan:1", 179, "taba_tabii", "thiqa"), ("itqan:2", None, "sahabi", "thiqa")]
     assert rows(tables["narrator_aliases"], "alias") == [("مالك الإمام",)]
     assert ("thaqalayn:kafi", "Al-Kafi (Volume 2)", 1) in rows(tables["collections"], "collection_id", "name_en", "total_hadiths")
     sinks.write_staged(h, "hadiths", str(tmp_path / "hadiths"))
