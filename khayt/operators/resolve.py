@@ -155,16 +155,14 @@ def is_generic(name: Column, mentions: Column) -> Column:
     return F.coalesce((F.trim(name) != "") & (mentions >= GENERIC_MENTIONS) & (F.size(significant_tokens(F.array(name))) <= THIN_TOKENS) & ((F.size(words) <= 2) | kunya), F.lit(False))
 
 
-def candidate_pairs(records: DataFrame, max_block: int = 250, max_tokens: int = 64) -> DataFrame:
+def candidate_pairs(records: DataFrame, max_block: int = 250) -> DataFrame:
     """(a, b): records (id, keys) that share at least two significant words, by blocks of word pairs; blocks of more than ``max_block`` records, which tell nobody apart, are passed over.
 
-    A record with more than ``max_tokens`` words keeps those of its own name, then the rarest.
+    All words of a record count, however many it has; its word pairs are unrolled a word at a time, so that no row holds all of them.
     """
-    words = stored(records.select("id", F.posexplode("keys").alias("k", "name")).select("id", "k", F.explode(significant_tokens(F.array("name"))).alias("t")).groupBy("id", "t").agg(F.min("k").alias("k")), "words")
-    df = words.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
-    kept = words.join(df, "t").groupBy("id").agg(F.array_sort(F.collect_list(F.struct((F.col("k") > 0).alias("other"), "df", "t"))).alias("w"))
-    toks = kept.select("id", F.array_sort(F.transform(F.slice("w", 1, max_tokens), lambda x: x["t"])).alias("w"))
-    pairs = toks.select("id", F.explode(F.flatten(F.transform("w", lambda x, i: F.transform(F.slice("w", i + 2, F.lit(max_tokens)), lambda y: F.struct(x.alias("x"), y.alias("y")))))).alias("p")).select("id", "p.x", "p.y")
+    words = F.array_sort(F.array_distinct(F.flatten(F.collect_list(significant_tokens(F.col("keys"))))))
+    heads = records.groupBy("id").agg(words.alias("w")).select("id", "w", F.posexplode("w").alias("i", "x"))
+    pairs = heads.select("id", "x", F.explode(F.slice("w", F.col("i") + 2, F.size("w"))).alias("y"))
     pairs = stored(pairs, "blocks")
     size = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(2, max_block)).select("x", "y")
     live = pairs.join(size, ["x", "y"], "left_semi")

@@ -74,6 +74,13 @@ def test_clusters_on_gold(spark):
     assert R.candidate_pairs(r.limit(0)).count() == 0
 
 
+def test_candidate_pairs_of_records_with_many_words(spark):
+    # 70 words in the first name, so the shared ones of another name come after the 64th of those kept by name.
+    own, shared = " ".join(f"w{i:03}" for i in range(70)), "zz1 zz2"
+    r = spark.createDataFrame([("a", [own, shared]), ("b", [shared]), ("c", ["zz1"])], "id string, keys array<string>")
+    assert rows(R.candidate_pairs(r)) == [("a", "b")]
+
+
 def test_cliques_are_cliques():
     import pandas as pd
 
