@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from khayt.functions import scalars as S
@@ -220,17 +223,80 @@ def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
     return label
 
 
-def betweenness(nodes: DataFrame, edges: DataFrame, pivots: int | None = None, seed: int = 42, max_depth: int = 100) -> DataFrame:
+#: Nodes and links up to which a graph is given whole to every task of a search.
+GRAPH_SIZE = 4_000_000
+
+
+def _dependencies(start: np.ndarray, to: np.ndarray, sources: np.ndarray) -> np.ndarray:
+    """The sum, per node, of what the shortest paths from the sources hang on it. Links are grouped by their first end: those of node v are to[start[v]:start[v + 1]]."""
+    n = len(start) - 1
+    total = np.zeros(n)
+    block = max(1, GRAPH_SIZE // max(1, n + len(to)))
+    for at in range(0, len(sources), block):
+        own = sources[at : at + block]
+        # A place is a source's number times n plus a node, so that a block of sources is searched at once.
+        front = np.arange(len(own)) * n + own
+        seen, mark, sigma, delta = np.zeros(len(own) * n, bool), np.zeros(len(own) * n, np.int64), np.zeros(len(own) * n), np.zeros(len(own) * n)
+        seen[front], sigma[front], levels = True, 1.0, []
+        while len(front):
+            v = front % n
+            degree = start[v + 1] - start[v]
+            link = np.repeat(start[v] - np.cumsum(degree) + degree, degree) + np.arange(degree.sum())
+            there = to[link] + np.repeat(front - v, degree)
+            new = ~seen[there]
+            there, here = there[new], np.repeat(front, degree)[new]
+            np.add.at(sigma, there, sigma[here])
+            mark[there] = np.arange(len(there))
+            front = there[mark[there] == np.arange(len(there))]
+            seen[front] = True
+            levels.append((here, there))
+        for here, there in reversed(levels):
+            np.add.at(delta, here, sigma[here] / sigma[there] * (1 + delta[there]))
+        delta[np.arange(len(own)) * n + own] = 0
+        total += delta.reshape(len(own), n).sum(axis=0)
+    return total
+
+
+def _searched(ids: DataFrame, links: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(v, d): the dependencies of all nodes on the chosen sources. The graph, as numbers, goes to every task; sources are dealt to tasks."""
+    spark = ids.sparkSession
+    every = ids.unionByName(links.select(F.col("from_id").alias("id"))).unionByName(links.select(F.col("to_id").alias("id"))).distinct()
+    number, _ = store(every.where("id is not null").select("id", (F.row_number().over(Window.orderBy("id")) - 1).cast("bigint").alias("k")), "number")
+    a, b = (number.select(F.col("id").alias(f"{x}_id"), F.col("k").alias(x)) for x in ("from", "to"))
+    pairs = links.join(a, "from_id").join(b, "to_id").select("from", "to").toArrow()
+    n = number.count()
+    begin, end = (pairs[c].to_numpy() for c in ("from", "to"))
+    start, to = np.concatenate([[0], np.cumsum(np.bincount(begin, minlength=n))]), end[np.argsort(begin, kind="stable")]
+    graph = spark.sparkContext.broadcast((start, to))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, to = graph.value
+        for batch in batches:
+            d = _dependencies(start, to, batch.column(0).to_numpy())
+            k = np.flatnonzero(d)
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(d[k])], names=["k", "d"])
+
+    parts = max(1, min(math.ceil(n / 64), 8 * spark.sparkContext.defaultParallelism))
+    asked = chosen.join(number, "id").select("k").repartition(parts, "k")
+    return asked.mapInArrow(work, "k bigint, d double").groupBy("k").agg(F.sum("d").alias("d")).join(number, "k").select(F.col("id").alias("v"), "d")
+
+
+def betweenness(nodes: DataFrame, edges: DataFrame, pivots: int | None = None, seed: int = 42, max_depth: int = 100, graph_size: int = GRAPH_SIZE) -> DataFrame:
     """(id, score): shortest-path betweenness of the directed graph, from all sources or from a sample of ``pivots`` scaled to all.
 
-    All sources search at once, level by level, as joins on (source, node): no node's neighbours and no source's tree is held by one task. Then dependencies are summed
-    back from the deepest level. Parallel edges are one.
+    A graph of at most ``graph_size`` nodes and links is searched whole by every task, each from its own sources, to any depth. In a larger one all sources search at once,
+    level by level, as joins on (source, node): no node's neighbours and no source's tree is held by one task. Then dependencies are summed back from the deepest level;
+    paths of more than ``max_depth`` links are an error there. Parallel edges are one.
     """
     spark = nodes.sparkSession
     ids, _ = store(nodes.select("id").distinct(), "ids")
     links, _ = store(edges.where("from_id <> to_id").select("from_id", "to_id").distinct(), "links")
     total = ids.count()
     chosen = ids if pivots is None or pivots >= total else ids.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(pivots)
+    scale = 1.0 if pivots is None or pivots >= total else total / pivots
+    if total + links.count() <= graph_size:
+        score = _searched(ids, links, chosen)
+        return ids.join(score, ids.id == score.v, "left").select("id", (F.coalesce("d", F.lit(0.0)) * scale).alias("score"))
     front, at = store(chosen.select(F.col("id").alias("s"), F.col("id").alias("v"), F.lit(1.0).alias("sigma")), "front")
     seen, levels = front.select("s", "v"), [front]
     for _ in range(max_depth):
@@ -240,6 +306,8 @@ def betweenness(nodes: DataFrame, edges: DataFrame, pivots: int | None = None, s
             break
         levels.append(front)
         seen = seen.unionByName(front.select("s", "v"))
+    else:
+        raise RuntimeError(f"nodes were still being reached after {max_depth} levels")
     delta = levels[-1].select("s", "v", "sigma", F.lit(0.0).alias("delta"))
     done = []
     for level in reversed(levels[:-1]):
@@ -251,6 +319,5 @@ def betweenness(nodes: DataFrame, edges: DataFrame, pivots: int | None = None, s
     all_ = done[0]
     for more in done[1:]:
         all_ = all_.unionByName(more)
-    scale = 1.0 if pivots is None or pivots >= total else total / pivots
     score = all_.groupBy("v").agg(F.sum("delta").alias("d"))
     return ids.join(score, ids.id == score.v, "left").select("id", (F.coalesce("d", F.lit(0.0)) * scale).alias("score"))

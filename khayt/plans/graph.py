@@ -201,9 +201,9 @@ def g_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def g_betweenness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From a seeded sample of 16 sources; a search from every source is the operator's default."""
+    """From every source."""
     t = Tables(spark, sf_dir)
-    return G.betweenness(t.narrators(), stored(t.transmitted().select("from_id", "to_id"), "edges"), pivots=16).select("id", F.round("score", 4).alias("score"))
+    return G.betweenness(t.narrators(), stored(t.transmitted().select("from_id", "to_id"), "edges")).select("id", F.round("score", 4).alias("score"))
 
 
 def g_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

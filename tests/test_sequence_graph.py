@@ -97,6 +97,28 @@ def test_betweenness(spark, net):
     assert all(abs(got[i] - score[i]) < 1e-6 for i in ids)
 
 
+def test_betweenness_of_a_long_path(spark, net):
+    n = spark.createDataFrame([(f"{i:03}",) for i in range(106)], "id string")
+    e = spark.createDataFrame([(f"{i:03}", f"{i + 1:03}") for i in range(105)], "from_id string, to_id string")
+    got = {r[0]: r[1] for r in G.betweenness(n, e).collect()}
+    assert all(abs(got[f"{i:03}"] - i * (105 - i)) < 1e-6 for i in range(106))
+    with pytest.raises(RuntimeError):
+        G.betweenness(n.where("id < '008'"), e.where("to_id < '008'"), max_depth=3, graph_size=0)
+    _, _, n, e = net
+    want = {r[0]: r[1] for r in G.betweenness(n, e, graph_size=0).collect()}
+    got = {r[0]: r[1] for r in G.betweenness(n, e).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 for i in got)
+
+
+def test_betweenness_query_searches_from_every_source(spark, data):
+    from khayt.plans.graph import Tables, g_betweenness
+
+    t = Tables(spark, data)
+    want = {r[0]: r[1] for r in G.betweenness(t.narrators(), t.transmitted()).collect()}
+    got = {r[0]: r[1] for r in g_betweenness(spark, data).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-3 for i in got)
+
+
 def test_upsert_and_prune(spark):
     old = spark.createDataFrame([("a", 1, "x"), ("b", 2, None)], "id string, v int, w string")
     new = spark.createDataFrame([("b", None, "y"), ("c", 3, None)], "id string, v int, w string")
