@@ -69,20 +69,29 @@ def run_stages(stages: Sequence[Stage], tables: dict[str, DataFrame], from_step:
     return out
 
 
-def graph_stages() -> list[Stage]:
-    """Raw tables to nodes, edges and measures."""
+#: Tables of links that ``load`` takes if the folder has them, and what they become.
+LINKS = ("parallel_links", "network_edges")
+
+
+def graph_stages(links: Sequence[str] = ()) -> list[Stage]:
+    """Raw tables to nodes, edges and measures; with the tables named in ``links``, the edges made of them too."""
     from khayt.operators import graph as G
 
+    more = [
+        Stage("parallels", ["parallel_links", "n_hadith"], lambda t: {"e_parallel_of": G.parallel_of(t["parallel_links"], t["n_hadith"])}),
+        Stage("network", ["network_edges", "n_narrator"], lambda t: {"e_studied_under": G.studied_under(t["network_edges"], t["n_narrator"])}),
+    ]
     return [
         Stage("nodes", ["hadiths", "narrators_canonical", "collections"], lambda t: {"n_hadith": G.hadith_nodes(t["hadiths"]), "n_narrator": G.narrator_nodes(t["narrators_canonical"]), "n_collection": G.collection_nodes(t["collections"]), "n_grading": G.grading_nodes(t["hadiths"])}),
         Stage("chains", ["mentions_resolved", "n_hadith"], lambda t: {"mentions": G.surviving_mentions(t["mentions_resolved"], t["n_hadith"])}),
         Stage("edges", ["mentions", "n_hadith", "n_narrator", "n_collection", "n_grading"], lambda t: {"e_transmitted_to": G.transmitted_to(t["mentions"], t["n_narrator"]), "e_narrated": G.narrated(t["mentions"], t["n_narrator"]), "e_appears_in": G.appears_in(t["n_hadith"], t["n_collection"]), "e_graded_by": G.graded_by(t["n_grading"])}),
-        Stage("metrics", ["e_transmitted_to", "n_narrator"], lambda t: {"m_degree": G.degrees(t["e_transmitted_to"]), "m_rank": G.pagerank(t["n_narrator"], t["e_transmitted_to"])}),
+        *[s for s in more if s.needs[0] in links],
+        Stage("metrics", ["e_transmitted_to", "n_narrator"], lambda t: {"m_degree": G.degrees(t["e_transmitted_to"]), "m_rank": G.pagerank(t["n_narrator"], t["e_transmitted_to"]), "m_betweenness": G.betweenness(t["n_narrator"], t["e_transmitted_to"]), "m_community": G.communities(t["e_transmitted_to"])}),
     ]
 
 
 def main(argv: Sequence[str] | None = None) -> int:
-    from khayt.runtime import session, table
+    from khayt.runtime import exists, session, table
     from khayt.sources import adapters, views
     from khayt.sources.sinks import write_staged
 
@@ -113,8 +122,10 @@ def main(argv: Sequence[str] | None = None) -> int:
         return Exit.FAILED if failed else Exit.OK
     if args.command == "load":
         tables = {n: table(spark, args.data, n) for n in ("hadiths", "narrators_canonical", "collections", "mentions_resolved")}
+        names = [n for n in LINKS if exists(spark, f"{args.data}/{n}.parquet")]
+        tables |= {n: table(spark, args.data, n) for n in names}
         try:
-            got = run_stages(graph_stages(), tables, args.from_step, skip=args.skip)
+            got = run_stages(graph_stages(names), tables, args.from_step, skip=args.skip)
         except ValueError as e:
             print(e, file=sys.stderr)
             return Exit.BAD_ARGUMENT

@@ -54,6 +54,11 @@ def _path(spark: SparkSession, where: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, where: str) -> bool:
+    path, fs = _path(spark, where)
+    return fs.exists(path)
+
+
 def store(df: DataFrame, what: str = "stage") -> tuple[DataFrame, str]:
     """Write a DataFrame to the shared folder and read it back: lineage ends there, and a lost executor loses nothing."""
     spark = df.sparkSession

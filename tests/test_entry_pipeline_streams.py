@@ -48,6 +48,22 @@ def test_command_line(spark, data, tmp_path):
     assert pipeline.main(["load", data, str(tmp_path / "g"), "--from-step", "nope"]) == pipeline.Exit.BAD_ARGUMENT
 
 
+def test_load_makes_all_edges_and_measures(spark, data, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    for n in ("hadiths", "narrators_canonical", "collections", "mentions_resolved"):
+        (d / f"{n}.parquet").symlink_to(f"{data}/{n}.parquet")
+    assert pipeline.main(["load", data, str(tmp_path / "a"), "--skip", "chains", "edges"]) == pipeline.Exit.MISSING_INPUT
+    a, b = [r["id"] for r in spark.read.parquet(str(tmp_path / "a/n_hadith")).orderBy("id").limit(2).collect()]
+    spark.createDataFrame([(b, a, 0.9, "verbatim", False), (a, "hdt:gone", 0.9, "verbatim", False)], "hadith_id_a string, hadith_id_b string, similarity_score float, variant_type string, cross_sect boolean").write.parquet(str(d / "parallel_links.parquet"))
+    spark.createDataFrame([("مالك", None, "نافع", None, "STUDIED_UNDER")], "from_name string, from_external_id string, to_name string, to_external_id string, relation string").write.parquet(str(d / "network_edges.parquet"))
+    assert pipeline.main(["load", str(d), str(tmp_path / "g")]) == 0
+    assert [(r["from_id"], r["to_id"]) for r in spark.read.parquet(str(tmp_path / "g/e_parallel_of")).collect()] == [(a, b)]
+    assert (tmp_path / "g/e_studied_under").exists()
+    for m in ("m_betweenness", "m_community"):
+        assert spark.read.parquet(str(tmp_path / f"g/{m}")).count() > 0
+
+
 def test_quality(spark):
     d = spark.createDataFrame([("a", "x"), ("a", None), (None, "bad")], "id string, g string")
     assert {(r["column_name"], r["null_pct"]) for r in K.null_shares(d, "t").collect()} == {("id", 33.33), ("g", 33.33)}
