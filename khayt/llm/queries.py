@@ -80,18 +80,33 @@ def p9_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def _cleaned(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
+    return repetition.repetition(table(spark, sf_dir, "documents"), "doc_id", "text", clean=clean)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.repetition(table(spark, sf_dir, "documents"), "doc_id", "text", clean=False).where("rejected").select("doc_id")
+    """Documents that line-first cleaning rejects, of which the share lost to repetition alone is checked."""
+    return _cleaned(spark, sf_dir).where("rejected").where(F.col("share") >= repetition.REJECT_SHARE).select("doc_id")
 
 
 def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words, repeated words and lines that fail, of every document."""
-    got = repetition.repetition(table(spark, sf_dir, "documents"), "doc_id", "text", clean=False)
-    return got.select("doc_id", "words", "repeated", F.round("share", 6).alias("share"))
+    """Words and repeated words of every document."""
+    return _cleaned(spark, sf_dir).select("doc_id", "words", "repeated", F.round("share", 6).alias("share"))
+
+
+def p10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, lines that fail, words lost with what fails and whether the document is rejected for it, of every document."""
+    return _cleaned(spark, sf_dir).select("doc_id", "lines", "failed_lines", "lost", "rejected")
+
+
+def p10_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line-first cleaning leaves of every document."""
+    return _cleaned(spark, sf_dir, clean=True).select("doc_id", "rejected", "kept")
 
 
 QUERIES = {
     "p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_plain": p5_plain, "p7_found": p7_found, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found, "p10_shares": p10_shares,
+    "p10_lines": p10_lines, "p10_cleaned": p10_cleaned,
 }
 
 _P10 = r"""with w as (select doc_id, regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '\p{M}', '', 'g'), '\p{L}+') ws from documents),
@@ -101,6 +116,21 @@ m as (select doc_id, count(distinct i + k) repeated from g, range(5) r(k) where
 s as (select w.doc_id, len(ws)::bigint as words, coalesce(repeated, 0) as repeated, case when len(ws) = 0 then 0.0 else coalesce(repeated, 0)::double / len(ws) end as share from w left join m using (doc_id))
 """
 
+_ENDS, _GONE = r"[\n\r\x0b\x0c\x{85}\x{2028}\x{2029}]", r"\x00-\x20\x{85}\x{a0}\x{2028}\x{2029}"
+_P10_LINES = rf"""with t as (select doc_id, string_split_regex(regexp_replace(coalesce(text, ''), '([{repetition.STOPS}][\t \x{{a0}}])', '\1' || chr(10), 'g'), '{_ENDS}') ls from documents),
+l as (select doc_id, n, ls[n] line, regexp_extract_all(regexp_replace(lower(ls[n]), '\p{{M}}', '', 'g'), '\p{{L}}+') ws from (select doc_id, ls, unnest(range(1, len(ls) + 1)) n from t)),
+c as (select doc_id, n, ws, coalesce(sum(len(ws)) over (partition by doc_id order by n rows between unbounded preceding and 1 preceding), 0)::bigint before,
+ length(regexp_replace(line, '[{_GONE}]', '', 'g')) shown, length(regexp_replace(line, '[{_GONE}\p{{L}}\p{{M}}\p{{N}}]', '', 'g')) signs, length(regexp_replace(line, '[^{repetition.SEPARATORS}]', '', 'g')) bars from l),
+d as (select doc_id, flatten(list(ws order by n)) ws from l group by 1),
+g as (select doc_id, i, row_number() over (partition by doc_id, array_to_string(ws[i:i + 4], ' ') order by i) > 1 again from (select doc_id, ws, unnest(range(1, len(ws) - 3)) i from d)),
+m as (select distinct doc_id, i + k p from g, range(5) r(k) where again),
+a as (select c.doc_id, n, count(*) again from c join m on c.doc_id = m.doc_id and p > before and p <= before + len(ws) group by 1, 2),
+f as (select c.doc_id, len(ws) said, coalesce(again, 0) again, shown > 0 as is_line, shown > 0 and (len(ws) = 0 or signs > 0.5 * shown or (bars >= 2 and len(ws) <= 3 * (bars + 1))
+ or regexp_matches(' ' || array_to_string(ws, ' ') || ' ', ' ({"|".join(repetition.BOILERPLATE)}) ') or again = len(ws)) as fails from c left join a on c.doc_id = a.doc_id and c.n = a.n),
+s as (select doc_id, count(*) filter (is_line) as lines, count(*) filter (is_line and coalesce(fails, false)) as failed_lines,
+ sum(case when coalesce(fails, false) then said else again end)::bigint as lost, sum(said) words from f group by 1)
+select doc_id, lines, failed_lines, lost, words > 0 and lost >= 0.25 * words as rejected from s"""
+
 SQL = {
     "p1_found": """with recursive known as (select distinct canonical_id id from narrators_canonical),
 m as (select case when left_id like 'nar:%' then left_id else 'nar:' || left_id end a, case when right_id like 'nar:%' then right_id else 'nar:' || right_id end b
@@ -122,5 +152,6 @@ select canonical_id, field_name, field_value from (select canonical_id, 'death_y
  union all select canonical_id, 'death_year_provenance', p from y where p is not null union all select canonical_id, 'generation', g from g
  union all select canonical_id, 'gender', s from s) where canonical_id in (select canonical_id from k)""",
     "p10_found": _P10 + "select doc_id from s where words > 0 and share >= 0.25",
+    "p10_lines": _P10_LINES,
     "p10_shares": _P10 + "select doc_id, words, repeated, round(share, 6) as share from s",
 }

@@ -114,6 +114,29 @@ def test_repetition_against_brute_force(texts):
     assert list(zip(got["words"].tolist(), got["repeated"].tolist(), strict=True)) == [brute(t) for t in texts]
 
 
+LINES = st.lists(st.sampled_from(["one two three four five six. ", "one two three four five\n", "Home | About us | Contact\n", "All rights reserved\r", "*** ---\n", "a b ! ? ; :\n", "نص آخر؟ ", "x ", "\n"]), max_size=12).map("".join)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(LINES, max_size=4))
+def test_what_is_kept_has_the_words_not_lost(texts):
+    got = R.judge(pa.array(texts, pa.string()))
+    for t, words, lost, rep, kept in zip(texts, got["words"], got["lost"], got["repeated"], got["text"].to_pylist(), strict=True):
+        assert brute(t)[1] == rep <= lost and brute(kept)[0] == words - lost
+
+
+def test_line_rules():
+    def kept(t):
+        got = R.judge(pa.array([t]))
+        return got["text"].to_pylist()[0], got["failed"].tolist()[0]
+
+    assert kept("Home | About us | Contact\nA line of text | with one bar") == ("A line of text | with one bar", 1)
+    assert kept("-- ++ == x\nwords here") == ("words here", 1) and kept("12\u202834 plain") == ("34 plain", 1)
+    assert kept("Good text. All rights reserved. More text.") == ("Good text. More text.", 1) and kept("The rights reserved, all of them.")[1] == 0
+    assert kept("one two three four five six\nNow one two three four five, he said") == ("one two three four five six\nNow he said", 0)
+    assert kept("سياسة الخصوصيّة\nكلام") == ("كلام", 1)
+
+
 def test_repetition_frame(spark):
     line = "one two three four five six"
     d = spark.createDataFrame([(1, f"{line}\n{line}\nother words here", "clash"), (1, "short", None), (2, None, ""), (3, "", ""), (4, " \n ", ""), (5, "w x y z v " * 60_000, ""), (6, "***\nabc", "")], "id int, t string, share string")
@@ -123,5 +146,5 @@ def test_repetition_frame(spark):
     assert len(rows) == 7 and (first["words"], first["repeated"], first["failed_lines"], first["rejected"], first["kept"]) == (15, 6, 1, True, f"{line}\nother words here")
     assert by[2]["share"] == 0 and by[2]["kept"] is None and not by[3]["rejected"] and by[4]["words"] == 0 and by[5]["rejected"] and by[6]["failed_lines"] == 1
     assert R.repetition(d.limit(0), "id", "t").count() == 0
-    nav = R.judge(pa.array(["Home | About us | Contact\nA line of text | with one bar"]))
-    assert nav["failed"].tolist() == [1] and nav["text"].to_pylist() == ["A line of text | with one bar"]
+    nav = spark.createDataFrame([(1, "Home | About us | Contact\n" * 13 + "One sentence that is left of it all here.")], "id int, t string")
+    assert R.repetition(nav, "id", "t", window=99).first()["rejected"]
