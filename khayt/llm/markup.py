@@ -1,8 +1,9 @@
 """Markup residue: which texts hold it, and clean text that keeps headings, lists, tables, code and formulas.
 
 HTML is read as a stream of events of the standard library's parser; wiki, Markdown and LaTeX by patterns on what is between. Every sign of markup is a span of the source, from
-which each line has its ratio of text to tags. The ratios are smoothed by a Gaussian and cut by a threshold between their two clusters, which tells the content
-regions of a page from menus and templates. A sign that serves as ordinary punctuation (a comparison, price, editor's bracket, footnote star) makes no span.
+which each line has its ratio of text to tags. How far the ratios fall below those of bare text is smoothed by a Gaussian and cut by a threshold between its two clusters, which
+gives the regions of markup: a text holds markup if it has such a region, and regions that are mostly tags (menus and templates) are told from content. All texts
+go this way, whatever their length. A sign that serves as ordinary punctuation (a comparison, price, editor's bracket, footnote star) makes no span.
 """
 
 from __future__ import annotations
@@ -32,12 +33,15 @@ BLOCKS = frozenset("address article aside blockquote body center div dl dt dd fi
 SILENT = frozenset("script style head template".split())
 
 _TAG_CUT = re.compile(r"<(?:/?[A-Za-z][A-Za-z0-9:-]*(?:\s[^<>]*)?|!(?:-(?:-[^<>]*)?)?|/)$")
-_TAG_TAIL = re.compile(r"^[^<>\n]{0,200}?(?:\"|-|/)\s*/?>")
+_FIRST_EDGE = re.compile(r"[<>\n]")
 _ENTITY = re.compile(r"&(?:#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6})|[A-Za-z][A-Za-z0-9]{1,31});")
 _ENTITY_CUT = re.compile(r"&(?:#(?:[0-9]{2,7}|[xX][0-9A-Fa-f]{1,6})|(?:nbsp|quot|amp|rlm|lrm|mdash|ndash|zwnj|zwj|apos|hellip|laquo|raquo|ldquo|rdquo|lsquo|rsquo|gt|lt))$")
 
 _CODE = re.compile(r"(?ms)^[ \t]*(?:```|~~~)[^\n]*\n?.*?(?:^[ \t]*(?:```|~~~)[ \t]*$|\Z)|(?<![`\w])(`{1,2})(?![`\s])[^`\n]+?\1(?!`)")
-_FORMULA = re.compile(r"\\\((?:.{0,2000}?)(?:\\\)|\Z)|\\\[(?:.{0,2000}?)(?:\\\]|\Z)|\$\$[^$]{1,2000}\$\$|\$[^$\n]*\\[A-Za-z][^$\n]*(?:\$|\Z)", re.S)
+#: Bounded by what closes a formula, not by length; each part is scanned once.
+_FORMULA = re.compile(
+    r"\\\(.*?(?:\\\)|\Z)|\\\[.*?(?:\\\]|\Z)|\$\$[^$]++\$\$|\$(?=[^$\n]*+(?:\$|\Z))(?=[^$\n\\]*+(?:\\(?![A-Za-z])[^$\n\\]*+)*+\\[A-Za-z])[^$\n]*+(?:\$|\Z)", re.S
+)
 #: Patterns of markup beside HTML: (name, pattern). Order matters only for cleaning.
 RULES = tuple(
     (name, re.compile(pattern))
@@ -60,11 +64,13 @@ RULES = tuple(
         ("command", r"\\(?:begin|end)\{[A-Za-z]*\*?\}?|\\[A-Za-z]{2,}\*?(?:\[[^\]\n]*\])?|\\[()\[\]](?=[^\n])"),
     )
 )
+#: An ampersand escaped several times over.
+_AMPS = re.compile(r"&(?:amp;)+(?=#?\w+;)")
 _LIST_LINES = re.compile(r"(?m)^ {0,3}([0-9]{1,3})[.)][ \t]+\S")
 
 
 #: Texts that match none of this have no markup; only the others are looked at closely.
-MAY_HOLD = r"[<&\[\]{}|\\`$~]|''|\*\S|__?\S|(?m:^ {0,8}(?:[-*+>=#]|[0-9]{1,3}[.)]))|(?m:^(?:={3,}|-{3,}|_{3,}))|^[^<>]{0,200}>"
+MAY_HOLD = r"[<&\[\]{}|\\`$~]|''|\*\S|__?\S|(?m:^ {0,8}(?:[-*+>=#]|[0-9]{1,3}[.)]))|(?m:^(?:={3,}|-{3,}|_{3,}))|\A[^<>\n]*>"
 _MAY_HOLD = re.compile(MAY_HOLD)
 
 
@@ -198,6 +204,15 @@ def _html(text: str) -> tuple[list[tuple[int, int, str, str]], str]:
     return spans, text + tail
 
 
+def _tag_tail(text: str) -> int:
+    """Where the rest of a tag ends with which a cut text begins; 0 if it begins with none."""
+    edge = _FIRST_EDGE.search(text)
+    if not edge or edge.group() != ">":
+        return 0
+    head = text[: edge.start()].removesuffix("/").rstrip()
+    return edge.end() if head.endswith(("\"", "-", "/")) else 0
+
+
 def spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every sign of markup in a text, sorted."""
     if not _MAY_HOLD.search(text):
@@ -208,8 +223,8 @@ def spans(text: str) -> list[tuple[int, int, str]]:
     for m in _FORMULA.finditer(text):
         found.append((m.start(), m.end(), "formula"))
     found += [(a, b, kind) for a, b, kind, _ in _html(text)[0]]
-    if m := _TAG_TAIL.match(text):
-        found.append((0, m.end(), "tag"))
+    if tail := _tag_tail(text):
+        found.append((0, tail, "tag"))
     for name, rule in RULES:
         for m in rule.finditer(text):
             if m.end() > m.start():
@@ -221,41 +236,68 @@ def spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(s for s in found if s[2] in ("code", "formula") or not any(a <= s[0] and s[1] <= b for a, b in whole))
 
 
-def line_ratios(text: str, found: list[tuple[int, int, str]] | None = None) -> np.ndarray:
-    """Of each line, characters of text by characters of tags (at least 1)."""
+#: Kinds of spans that are structure of the content, not of the page about it.
+STRUCTURE = frozenset(("code", "formula", "list", "heading", "table", "quote", "rule", "fence", "bold", "emphasis", "struck", "wiki mark"))
+
+
+def _in_spans(text: str, found: list[tuple[int, int, str]], but: frozenset[str] = frozenset()) -> np.ndarray:
+    """Mask of the characters within spans, those of the kinds ``but`` left out."""
     mask = np.zeros(len(text) + 1, np.int64)
-    for a, b, kind in spans(text) if found is None else found:
-        if kind not in ("code", "formula", "list"):
+    for a, b, kind in found:
+        if kind not in but:
             mask[a] += 1
             mask[min(b, len(text))] -= 1
-    tag = np.cumsum(mask[:-1]) > 0
-    out = []
-    at = 0
-    for line in text.split("\n"):
-        tags = int(tag[at : at + len(line)].sum())
-        out.append((len(line) - tags) / max(1, tags))
-        at += len(line) + 1
-    return np.array(out)
-
-
-def content_lines(ratios: np.ndarray, sigma: float = 1.0, least_lines: int = 8) -> np.ndarray:
-    """Mask of the lines in content regions: smoothed ratios above the middle of their two clusters. Texts of few lines, or of one kind of line, are content throughout."""
-    if len(ratios) < least_lines:
-        return np.ones(len(ratios), bool)
+    return np.cumsum(mask[:-1]) > 0
+
+
+def line_ratios(text: str, found: list[tuple[int, int, str]] | None = None, but: frozenset[str] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
+    """Of each line, characters of text by characters of tags (at least 1), and what the ratio were without tags: its length. Line ends belong to no line; kinds ``but`` are text."""
+    tags = _in_spans(text, spans(text) if found is None else found, but)
+    total = np.zeros(len(text) + 1, np.int64)
+    np.cumsum(tags, out=total[1:])
+    ends = np.fromiter((m.start() for m in re.finditer(r"\n|\Z", text)), np.int64)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    size, tag = ends - starts, total[ends] - total[starts]
+    return (size - tag) / np.maximum(1, tag), size.astype(float)
+
+
+def marked_lines(ratios: np.ndarray, bare: np.ndarray, sigma: float = 1.0, gap: float = 0.0) -> np.ndarray:
+    """Mask of the lines in regions of markup: how far (in logarithms) the ratios fall below those of bare lines, smoothed, above the middle of its two clusters.
+
+    The lower cluster begins at bare text, the upper at the largest value, which is therefore always above the middle: no line is marked if and only if no line has tags.
+    Clusters nearer than ``gap`` to one another tell nothing apart, and no line is marked.
+    """
+    fall = np.log1p(bare) - np.log1p(ratios)
     radius = max(1, math.ceil(2 * sigma))
     kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / sigma) ** 2)
     # The border repeats, so that the first and last lines lose nothing.
-    smooth = np.convolve(np.pad(np.log1p(ratios), radius, mode="edge"), kernel / kernel.sum(), mode="valid")
-    low, high = float(smooth.min()), float(smooth.max())
-    if high - low < 1.0:
-        return np.ones(len(ratios), bool)
+    smooth = np.convolve(np.pad(fall, radius, mode="edge"), kernel / kernel.sum(), mode="valid")
+    low, high = 0.0, float(smooth.max())
+    if high <= 0:
+        return np.zeros(len(fall), bool)
     for _ in range(50):
-        near = np.abs(smooth - low) <= np.abs(smooth - high)
-        following = float(smooth[near].mean()), float(smooth[~near].mean())
+        near = smooth - low < high - smooth
+        following = float(smooth[near].mean()) if near.any() else 0.0, float(smooth[~near].mean())
         if following == (low, high):
             break
         low, high = following
-    return smooth > (low + high) / 2
+    return (smooth > (low + high) / 2) & (high - low >= gap)
+
+
+def holds_markup(text: str, found: list[tuple[int, int, str]] | None = None) -> bool:
+    """Whether a text has a region of markup."""
+    found = spans(text) if found is None else found
+    return bool(found) and bool(marked_lines(*line_ratios(text, found)).any())
+
+
+def content_lines(text: str, found: list[tuple[int, int, str]] | None = None) -> np.ndarray:
+    """Mask of the lines of content: all but those in regions that stand out by their tags and have more tags than text. Structure (headings, lists, tables, code, formulas) is content."""
+    ratios, bare = line_ratios(text, found, STRUCTURE)
+    said = np.flatnonzero(bare > 0)  # empty lines belong to what is around them
+    out = np.ones(len(bare), bool)
+    if len(said):
+        out[said] = ~(marked_lines(ratios[said], bare[said], gap=1.0) & (ratios[said] < 1))
+    return out
 
 
 def clean(text: str) -> str:
@@ -271,12 +313,10 @@ def clean(text: str) -> str:
 
     text = _CODE.sub(lambda m: keep(m.group().strip("\n") if m.group().lstrip().startswith(("```", "~~~")) else f"`{m.group().strip('`')}`"), text)
     text = _FORMULA.sub(lambda m: keep("$" + re.sub(r"^(?:\\[(\[]|\$+)\s*|\s*(?:\\[)\]]|\$+)$", "", m.group()) + "$"), text)
-    for _ in range(4):  # escaped markup may be markup again
+    while True:  # escaped markup may be markup again; each round shortens the text or is the last
         before = text
-        if m := _TAG_TAIL.match(text):
-            text = text[m.end() :]
-        text = _html(text)[1]
-        if text == before:
+        text = _html(_AMPS.sub("&", text[_tag_tail(text) :]))[1]
+        if len(text) >= len(before):
             break
     # Wiki
     text = re.sub(r"\{\{[^{}\n]*(?:\}\}|$)|\}\}", "", text)
@@ -312,7 +352,7 @@ def clean(text: str) -> str:
 def read_markup(df: DataFrame, text: str, keep: list[str], want: bool = True) -> DataFrame:
     """The columns ``keep`` with ``found`` (whether the text holds markup), ``kinds``, ``clean`` and ``content`` (clean text of the content regions only), a row for each row of df.
 
-    Without ``want`` only ``found`` is worked out. Null: not found, null texts. Empty and very long texts are read whole. Cut-off markup counts. Columns not named are not read.
+    A text is found if it has a region of markup (``marked_lines``). Without ``want`` only ``found`` is worked out. Null: not found, null texts. Empty and very long texts are read whole. Cut-off markup counts. Columns not named are not read.
     """
     if not want:
 
@@ -321,18 +361,18 @@ def read_markup(df: DataFrame, text: str, keep: list[str], want: bool = True) ->
                 texts = batch.column("_text").to_pylist()
                 cols = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "_text"]
                 names = [f.name for f in batch.schema if f.name != "_text"]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([bool(t) and bool(spans(t)) for t in texts], pa.bool_())], names=[*names, "found"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([bool(t) and holds_markup(t) for t in texts], pa.bool_())], names=[*names, "found"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for t in batch.column("_text").to_pylist():
                 found = spans(t) if t else []
-                if not found:
+                if not found or not holds_markup(t, found):
                     rows.append((False, [], t, t))
                     continue
                 whole = clean(t)
-                good = content_lines(line_ratios(t, found))
+                good = content_lines(t, found)
                 part = whole if good.all() else clean("\n".join(line for line, ok in zip(t.split("\n"), good, strict=True) if ok))
                 rows.append((True, sorted({k for _, _, k in found}), whole, part))
             cols = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "_text"]

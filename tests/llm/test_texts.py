@@ -82,9 +82,28 @@ def test_clean_keeps_structure():
 
 def test_content_regions():
     page = "\n".join(["<li><a href='#'>m</a></li>"] * 8 + ["A long line of plain text that says something of weight, again and again."] * 8 + ["<div><a href='x'>f</a></div>"] * 8)
-    good = M.content_lines(M.line_ratios(page))
+    good = M.content_lines(page)
     assert good[10:14].all() and not good[:6].any() and not good[-6:].any()
-    assert M.content_lines(M.line_ratios("a\nb")).all() and M.content_lines(M.line_ratios("")).all()
+    assert M.content_lines("a\nb").all() and M.content_lines("").all() and M.content_lines("== Head ==\n\nA line of text.\n- item\n\n| a | b |\n|---|---|").all()
+    short = "<ul><li><a href='/a'>x</a></li><li><a href='/b'>y</a></li></ul>\nA line of text that says something.\nAnd another one."
+    assert M.content_lines(short).tolist() == [False, True, True]
+    assert M.content_lines("<p>A paragraph of text in its tags.</p>\n<p>And one more.</p>").all()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([*MARKED, *PLAIN, "", "plain text"]), max_size=12))
+def test_regions_are_there_if_and_only_if_signs_are(parts):
+    text = "\n\n".join(parts)
+    assert M.holds_markup(text) == bool(M.spans(text))
+
+
+def test_no_length_hides_markup():
+    for text in ("a \\(" + "x + " * 800 + "\\) b", "a $$" + "x + " * 800 + "$$ b", "a $" + "x + " * 800 + "\\alpha$ b", "class=\"" + "t " * 500 + "\">rest", "words " * 9_000 + "<b>x</b>", "x &" + "amp;" * 40 + "lt;b&gt; y"):
+        assert M.holds_markup(text)
+    assert {k for _, _, k in M.spans("a \\(" + "x + " * 800 + "\\) b")} == {"formula"} and M.clean("x &" + "amp;" * 40 + "lt;b&gt; y") == "x  y"
+    assert not M.holds_markup("costs $5 and \\ more, " * 5_000)
+    for hard in ("$" * 20_000, "$\\a" * 20_000, "<" * 20_000, "\\(" * 20_000, "&amp;" * 20_000, "[[" * 20_000, "$ " + "\\a " * 20_000):
+        M.spans(hard)
 
 
 def test_markup_frame(spark):
