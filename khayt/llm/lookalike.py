@@ -34,8 +34,11 @@ HIDDEN = (0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x180F
 SIGNS = (*range(0xFBB2, 0xFBD3), *range(0xFD3E, 0xFD50), *range(0xFDF0, 0xFE00))
 #: Kinds of compatibility forms that show as their plain form does.
 SAME_SHAPE = ("<wide>", "<narrow>", "<font>", "<noBreak>", "<isolated>", "<initial>", "<medial>", "<final>", "<compat>")
-#: Digits that stand for a letter within an Arabic word.
+# Digits that show as a letter does where it stands unjoined, and the letters that do not join the one after them.
 DIGIT_LETTERS = {0x0661: 0x0627, 0x0665: 0x0647}
+UNJOINED = "اأإآٱدذرزوؤةىء"
+#: A word with fewer letters than this is a siglum (of a volume, a page), and the digit on it a number.
+WORD_LETTERS = 2
 
 KEEP, FOLD, LATIN, EASTERN = 0, 1, 2, 3  # what the table of kinds says: as it is; replaced always; replaced in text that isn't of that script
 
@@ -165,19 +168,31 @@ def _compose(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _digits(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A lone digit that touches a letter of the Arabic script stands for a letter; which rows had one."""
+    """A lone digit in a word of Arabic letters stands for a letter where that letter would show the same; which rows had one.
+
+    That is after a letter that does not join, or at the start of the word (only alif), and with no letter after it that heh would join. Digits on words of fewer than WORD_LETTERS
+    letters, after a joining letter (a footnote's number), next to other digits, and an alif that would end a word after another alif, are numbers.
+    """
     t = tables()
     rows = np.zeros(len(starts) - 1, bool)
     digit = np.flatnonzero((points == 0x0661) | (points == 0x0665))
     if not len(digit):
         return points, rows
     row = cp.rows_of(starts)
-    arab = (t["script"][points] == 2) | ((points >= 0x064B) & (points <= 0x065F))  # a letter, or the mark on one
+    letter, mark = t["script"][points] == 2, t["ccc"][points] > 0
     number = (points >= 0x0660) & (points <= 0x0669)
-    before, after = np.maximum(digit - 1, 0), np.minimum(digit + 1, len(points) - 1)
-    has_b, has_a = (digit > 0) & (row[before] == row[digit]), (digit < len(points) - 1) & (row[after] == row[digit])
-    lone = ~(has_b & number[before]) & ~(has_a & number[after])
-    digit = digit[lone & ((has_b & arab[before]) | (has_a & arab[after]))]
+    part = letter | mark | number
+    joined = part[1:] & part[:-1] & (row[1:] == row[:-1])
+    word = np.concatenate([[0], np.cumsum(~joined)])
+    letters = np.bincount(word, letter)
+    bare = np.flatnonzero(~mark)  # neighbours are looked for beyond the marks on a letter
+    place = np.searchsorted(bare, digit)
+    before, after = bare[np.maximum(place - 1, 0)], bare[np.minimum(place + 1, len(bare) - 1)]
+    has_b, has_a = (place > 0) & (word[before] == word[digit]), (place < len(bare) - 1) & (word[after] == word[digit])
+    free = ~has_b | np.isin(points[before], np.array([ord(c) for c in UNJOINED], np.uint32))
+    alif = points[digit] == 0x0661
+    may = np.where(alif, has_a | (has_b & (points[before] != 0x0627)), has_b & ~has_a)
+    digit = digit[may & free & ~(has_b & number[before]) & ~(has_a & number[after]) & (letters[word[digit]] >= WORD_LETTERS)]
     points = points.copy()
     points[digit] = np.where(points[digit] == 0x0661, DIGIT_LETTERS[0x0661], DIGIT_LETTERS[0x0665])
     rows[row[digit]] = True
@@ -230,7 +245,7 @@ def plain_text(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """The columns ``keep``, ``plain`` (the consistent form of the text) and ``odd`` (whether the text was not in it), one row for each row of df.
 
     A null text gives a null and is not odd; an empty one stays empty; a very long one is worked on whole. A text is odd if it holds a compatibility form or look-alike of a
-    plainer character, a space other than U+0020, a character that does not show, a digit as a letter, or a letter and mark that compose. Marks are
+    plainer character, a space other than U+0020, a character that does not show, a digit as a letter (see ``_digits``), or a letter and mark that compose. Marks are
     put in canonical order, which alone makes no text odd. The form is a fixed point: plain text stays as it is. Columns that are not named are not read; names may clash with ours.
     """
     named = [F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]
