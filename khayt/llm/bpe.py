@@ -1,14 +1,13 @@
 """Encoding by a public byte-level BPE vocabulary, the merges made by recursive DuckDB queries inside each task.
 
 A batch of texts is cut into words by the vocabulary's pattern; its distinct words become token-position rows, one per byte. A recursive query joins neighbouring positions with
-the merge table and contracts, in every word at once, the leftmost pair of the lowest rank, until no word has a pair left; an ordered aggregation gives each word's ids.
+the merge table and contracts, in every word at once, the pair of the lowest rank from the left on, until no word has a pair left; an ordered aggregation gives each word's ids.
 Words are mapped back to their texts by array gathers. No text or word is shuffled; only the vocabulary's merge table (its size is fixed) is sent to the tasks.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import json
 from collections.abc import Iterator
 from functools import cache
@@ -25,25 +24,31 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of distinct words in one recursive query, and words that a worker remembers between batches; both only bound memory.
 BYTES_AT_ONCE, WORDS_KEPT = 256_000, 400_000
-#: A recursive query holds every step of a word, which is quadratic in its length; longer words (runs of letters without a blank) are contracted with a heap instead.
-LONG_WORD = 256
+#: A recursive query holds every step it makes. So that a long word (a run of letters without a blank) takes no more memory than many short ones, a query makes so many steps that
+#: about this many rows are held, and words that are not done by then begin the next one as they stand.
+ROWS_HELD, MOST_STEPS = 4_000_000, 64
 
+#: {steps}: how many. {every}: whether all places of the chosen pair are contracted in one step, or the leftmost only.
 _STEP = """
 with recursive state(step, word, pos, tok) as (
   select 0, word, pos, tok from start
   union all
   (with held as (
-     select step, word, pos, tok, lead(tok) over (partition by word order by pos) as following, lead(pos) over (partition by word order by pos) as skipped from state),
+     select step, word, pos, tok, lead(tok) over w as following, row_number() over w as n from state where step < {steps} window w as (partition by word order by pos)),
    choice as (
      select h.word, min((m.rank::bigint << 32) | h.pos) as pick from held h join merges m on h.tok = m.a and h.following = m.b group by h.word),
+   hit as (
+     select h.*, m.made, coalesce(h.tok = m.a and h.following = m.b, false) and ({every} or h.pos = (c.pick & 4294967295)) as here
+     from held h join choice c on h.word = c.word join merges m on m.rank = (c.pick >> 32)),
+   -- Places of the pair that overlap (the same token twice) are taken from the left, every second one.
+   taken as (
+     select *, here and (n - coalesce(max(case when not here then n end) over (partition by word order by pos), 0)) % 2 = 1 as take from hit),
    done as (
-     select h.step + 1 as step, h.word, h.pos, case when h.pos = (c.pick & 4294967295) then m.made else h.tok end as tok,
-            lag(h.pos) over (partition by h.word order by h.pos) = (c.pick & 4294967295) as gone
-     from held h join choice c on h.word = c.word left join merges m on m.rank = (c.pick >> 32))
+     select step + 1 as step, word, pos, case when take then made else tok end as tok, lag(take) over (partition by word order by pos) as gone from taken)
    select step, word, pos, tok from done where gone is distinct from true)
 ),
 last as (select word, max(step) as step from state group by word)
-select s.word, list(s.tok order by s.pos) as ids from state s join last l on s.word = l.word and s.step = l.step group by s.word order by s.word
+select s.word, any_value(s.step) as step, list(s.tok order by s.pos) as ids from state s join last l on s.word = l.word and s.step = l.step group by s.word order by s.word
 """
 
 
@@ -90,6 +95,10 @@ class Encoder:
         self.con.register("merges_in", merges)
         self.con.execute("create table merges as select * from merges_in")
         self.con.unregister("merges_in")
+        # Where a token's own merge always ranks before the merges that use it, contracting one place of a pair brings no lower rank to another place of it.
+        own = np.full(int(max(vocabulary["made"].max(), vocabulary["single"].max())) + 1, -1)
+        np.maximum.at(own, vocabulary["made"], rank)
+        self.every = bool((own[vocabulary["a"]] < rank).all() and (own[vocabulary["b"]] < rank).all())
         self.forget()
 
     def forget(self) -> None:
@@ -97,26 +106,25 @@ class Encoder:
         self.flat = np.zeros(1 << 16, np.int32)
         self.ends = [0]
 
-    def _long(self, raw: bytes) -> list[int]:
-        """The same contraction of one long word: leftmost pair of the lowest rank first, kept in a heap."""
-        if not hasattr(self, "rank"):
-            self.rank = {(int(a), int(b)): (int(r), int(m)) for r, a, b, m in self.con.execute("select rank, a, b, made from merges").fetchall()}
-        tok = self.single[np.frombuffer(raw, np.uint8)].tolist()
-        after, before = [*range(1, len(tok)), -1], [*range(-1, len(tok) - 1)]
-        heap = [(self.rank[p][0], i, *p) for i, p in enumerate(zip(tok, tok[1:], strict=False)) if p in self.rank]
-        heapq.heapify(heap)
-        while heap:
-            _, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if j < 0 or tok[i] != a or tok[j] != b:
-                continue
-            tok[i], tok[j], after[i] = self.rank[a, b][1], -1, after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-            for k in (before[i], i):
-                if k >= 0 and after[k] >= 0 and (p := (tok[k], tok[after[k]])) in self.rank:
-                    heapq.heappush(heap, (self.rank[p][0], k, *p))
-        return [t for t in tok if t >= 0]
+    def _contract(self, tok: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, how many of each word) of words given as the ids of their bytes end to end."""
+        ids: list[np.ndarray] = [np.zeros(0, np.int32)] * len(size)
+        of = np.arange(len(size))
+        while len(of):
+            steps = int(min(MOST_STEPS, max(1, ROWS_HELD // max(1, len(tok)))))
+            pos = np.arange(len(tok)) - np.repeat(np.cumsum(size) - size, size)
+            self.con.register("start", pa.table({"word": np.repeat(np.arange(len(of), dtype=np.int32), size), "pos": pos.astype(np.int32), "tok": tok}))
+            got = self.con.sql(_STEP.format(steps=steps, every=str(self.every).lower())).to_arrow_table()
+            self.con.unregister("start")
+            made = got["ids"].combine_chunks()
+            made = made.chunk(0) if isinstance(made, pa.ChunkedArray) else made
+            flat, ends = made.flatten().to_numpy().astype(np.int32), made.offsets.to_numpy() - made.offsets[0].as_py()
+            going = got["step"].to_numpy() >= steps
+            for w in np.flatnonzero(~going):
+                ids[of[w]] = flat[ends[w] : ends[w + 1]]
+            tok = np.concatenate([flat[ends[w] : ends[w + 1]] for w in np.flatnonzero(going)]) if going.any() else flat[:0]
+            of, size = of[going], np.diff(ends)[going]
+        return np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def _store(self, part: list[str], flat: np.ndarray, lens: np.ndarray) -> None:
         end = self.ends[-1]
@@ -129,27 +137,13 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> None:
         every = [w.encode("utf-8", "replace") for w in new]
-        for w, b in zip(new, every, strict=True):
-            if len(b) > LONG_WORD:
-                ids = self._long(b)
-                self._store([w], np.array(ids, np.int32), np.array([len(ids)]))
-        short = [(w, b) for w, b in zip(new, every, strict=True) if len(b) <= LONG_WORD]
-        edge = np.cumsum([0, *(len(b) for _, b in short)]) // BYTES_AT_ONCE
-        for k in range(int(edge[-1]) + 1 if short else 0):
+        edge = np.cumsum([0, *map(len, every)]) // BYTES_AT_ONCE
+        for k in range(int(edge[-1]) + 1):
             lo, hi = np.searchsorted(edge[:-1], [k, k + 1])
             if lo == hi:
                 continue
-            part, raw = [w for w, _ in short[lo:hi]], [b for _, b in short[lo:hi]]
-            size = np.fromiter(map(len, raw), np.int64, len(raw))
-            data = np.frombuffer(b"".join(raw), np.uint8)
-            word = np.repeat(np.arange(len(raw), dtype=np.int32), size)
-            pos = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
-            self.con.register("start", pa.table({"word": word, "pos": pos.astype(np.int32), "tok": self.single[data]}))
-            got = self.con.sql(_STEP).to_arrow_table()
-            self.con.unregister("start")
-            ids = got["ids"].combine_chunks()
-            ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-            self._store(part, ids.flatten().to_numpy().astype(np.int32), np.diff(ids.offsets.to_numpy()))
+            raw = every[lo:hi]
+            self._store(new[lo:hi], *self._contract(self.single[np.frombuffer(b"".join(raw), np.uint8)], np.fromiter(map(len, raw), np.int64, len(raw))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids end to end, row starts) of an array of texts; null and empty texts have none."""
