@@ -13,13 +13,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from khayt.llm import bpe
 from khayt.runtime import stored
 
 CAPACITY = 4096
+#: Segments and loss-bearing tokens that a container may hold.
+MAX_SEGMENTS, MAX_LOSS = 48, 4032
 #: Items that one task packs at once.
 CHUNK_ITEMS = 50_000
 #: A container with more of its tokens unused than this share is opened again in the next round.
@@ -48,6 +50,9 @@ def pack(sizes: np.ndarray, limits: Sequence[int]) -> np.ndarray:
     live = np.arange(len(kinds))
     columns = [np.ascontiguousarray(kinds[:, d]) for d in range(kinds.shape[1])]
     shares = [c * w for c, w in zip(columns, weight, strict=True)]
+    # Items that take a larger share of the segments than of the tokens would fill containers of their own with little in them, were they left to the end; each container gets its part of them.
+    slight = np.flatnonzero((kinds[:, 1] * weight[1] > kinds[:, 0] * weight[0]) & (kinds > 0).any(axis=1)) if kinds.shape[1] > 1 else live[:0]
+    slight_left, rest = int(left[slight].sum()), kinds.T @ left.astype(np.int64)
     box = done = 0
     while done < n:
         if (left[live] == 0).sum() > len(live) // 4:  # classes that are used up leave the products
@@ -55,6 +60,8 @@ def pack(sizes: np.ndarray, limits: Sequence[int]) -> np.ndarray:
             columns, shares = [np.ascontiguousarray(kinds[live, d]) for d in range(kinds.shape[1])], [np.ascontiguousarray(kinds[live, d] * weight[d]) for d in range(kinds.shape[1])]
         room, taken = limits.copy(), 0
         there = left[live] > 0
+        boxes = max(1.0, float((rest * weight).max()))
+        due = math.ceil(slight_left / boxes) if boxes > 1 else 0
         while True:
             fits = there.copy()
             score = np.zeros(len(live))
@@ -65,11 +72,20 @@ def pack(sizes: np.ndarray, limits: Sequence[int]) -> np.ndarray:
             if not fits[k]:
                 break
             kind = live[k]
+            if taken and due > 0:  # after the first item, which is as large as can be
+                while len(slight) and not left[slight[0]]:
+                    slight = slight[1:]
+                if len(slight) and (kinds[slight[0]] <= room).all():
+                    kind = slight[0]
+                    k = int(np.searchsorted(live, kind))
+                due -= 1
             out[queue[head[kind]]] = box
             head[kind] += 1
             left[kind] -= 1
             there[k] = left[kind] > 0
             room -= kinds[kind]
+            rest -= kinds[kind]
+            slight_left -= int(kinds[kind, 1] * weight[1] > kinds[kind, 0] * weight[0]) if len(weight) > 1 else 0
             taken += 1
         if not taken:
             raise ValueError("an item exceeds a limit")
@@ -93,13 +109,14 @@ def split_items(sized: DataFrame, key: str, tokens: str, loss: str | None, capac
     return cut.select(key, "piece", (F.col("piece").cast("bigint") * capacity).alias("start"), size.cast("bigint").alias("tokens"), part.alias("loss"))
 
 
-def pack_items(items: DataFrame, key: str, capacity: int = CAPACITY, max_segments: int = CAPACITY, max_loss: int = CAPACITY, chunk: int = CHUNK_ITEMS, rounds: int = ROUNDS) -> DataFrame:
+def pack_items(items: DataFrame, key: str, capacity: int = CAPACITY, max_segments: int = MAX_SEGMENTS, max_loss: int = MAX_LOSS, chunk: int = CHUNK_ITEMS, rounds: int = ROUNDS) -> DataFrame:
     """The items (key, piece, start, tokens, loss) with ``container``, an id as text, and ``used``, the tokens in that container.
 
-    Every item is in exactly one container; no container exceeds a limit. An empty table gives no rows; items of no tokens take a segment and no room. The result
+    Every item is in exactly one container; no container exceeds a limit, but that an item with more loss-bearing tokens than the limit, which cannot be split as it fits a container,
+    counts as the limit: it shares its container with items without loss only. An empty table gives no rows; items of no tokens take a segment and no room. The result
     is the same for the same items, whatever their order; an executor that is lost changes nothing.
     """
-    limits = (capacity, max_segments, min(max_loss, capacity) if max_loss else capacity)
+    limits = (capacity, max_segments, min(max_loss, capacity))
     kind = items.schema[key].dataType.simpleString()
     closed: list[DataFrame] = []
     now, count = items, items.count()
@@ -113,7 +130,7 @@ def pack_items(items: DataFrame, key: str, capacity: int = CAPACITY, max_segment
                 return
             t = pa.Table.from_batches(rows).sort_by([("_part", "ascending"), ("tokens", "descending"), ("k", "ascending"), ("piece", "ascending")])
             part = t["_part"].to_numpy()
-            tokens, loss = t["tokens"].to_numpy(), t["loss"].to_numpy()
+            tokens, loss = t["tokens"].to_numpy(), np.minimum(t["loss"].to_numpy(), limits[2])
             box, used = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
             for p in np.unique(part):
                 lo, hi = np.searchsorted(part, [p, p + 1])
@@ -140,10 +157,32 @@ def pack_items(items: DataFrame, key: str, capacity: int = CAPACITY, max_segment
     return out
 
 
-def pack_texts(df: DataFrame, key: str, text: str, path: str = bpe.TOKENIZER, capacity: int = CAPACITY, **limits: int) -> DataFrame:
+def pack_texts(df: DataFrame, key: str, text: str, given: Column | None = None, path: str = bpe.TOKENIZER, capacity: int = CAPACITY, **limits: int) -> DataFrame:
     """(key, piece, start, tokens, loss, container, used): texts sized in tokens of a public vocabulary and packed; start is the piece's first token in its text.
 
-    Only texts longer than a container are split. Null and empty texts are items of no tokens. All tokens bear loss.
+    given: which texts are only given (prompts) and bear no loss; of all others all tokens do (null counts as not given). Only texts longer than a container are split. Null and empty
+    texts are items of no tokens. Keys are unique.
     """
-    sized = stored(bpe.encode(df, key, text, path, count_only=True), "sized")
-    return pack_items(split_items(sized, key, "tokens", None, capacity), key, capacity, **limits)
+    bears = F.lit(True) if given is None else ~F.coalesce(given, F.lit(False))
+    src = df.select(F.struct(F.col(key).alias("k"), bears.alias("b")).alias("key"), F.col(text).alias("text"))
+    sized = bpe.encode(src, "key", "text", path, count_only=True)
+    sized = stored(sized.select(F.col("key.k").alias(key), "tokens", F.when(F.col("key.b"), F.col("tokens")).otherwise(0).alias("loss")), "sized")
+    return pack_items(split_items(sized, key, "tokens", "loss", capacity), key, capacity, **limits)
+
+
+def packing_facts(packed: DataFrame, key: str, capacity: int = CAPACITY, max_segments: int = MAX_SEGMENTS, max_loss: int = MAX_LOSS) -> DataFrame:
+    """(fact, value): how many texts are placed whole or in the fewest pieces, and how many pieces or containers break a rule (none should)."""
+    texts = packed.groupBy(key).agg(F.sum("tokens").alias("n"), F.count(F.lit(1)).alias("pieces"), F.countDistinct("piece").alias("kinds"), F.max("piece").alias("last"))
+    texts = texts.agg(
+        F.count_if((F.col("pieces") == F.greatest(F.lit(1), F.ceil(F.col("n") / capacity))) & (F.col("kinds") == F.col("pieces")) & (F.col("last") == F.col("pieces") - 1)).alias("texts placed"),
+        F.count_if((F.col("pieces") > 1) & (F.col("n") <= capacity)).alias("split though they fit"),
+    )
+    boxes = packed.groupBy("container").agg(
+        F.sum("tokens").alias("n"), F.count(F.lit(1)).alias("segments"), F.sum(F.least("loss", F.lit(max_loss))).alias("loss"), F.min("used").alias("low"), F.max("used").alias("high")
+    )
+    boxes = boxes.agg(
+        F.count_if(F.col("n") > capacity).alias("beyond capacity"), F.count_if(F.col("segments") > max_segments).alias("beyond segments"), F.count_if(F.col("loss") > max_loss).alias("beyond loss"),
+        F.count_if((F.col("low") != F.col("n")) | (F.col("high") != F.col("n"))).alias("use misstated"),
+    )
+    both = [d.select(F.inline(F.array(*[F.struct(F.lit(c).alias("fact"), F.col(c).cast("bigint").alias("value")) for c in d.columns]))) for d in (texts, boxes)]
+    return both[0].unionByName(both[1])

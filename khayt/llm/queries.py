@@ -76,8 +76,13 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text, or piece of a text longer than a container, with its container of 4,096 tokens."""
-    return packing.pack_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+    """Every text, or piece of a text longer than a container, with its container of 4,096 tokens; chains of transmission are context and bear no loss."""
+    return packing.pack_texts(table(spark, sf_dir, "documents"), "doc_id", "text", F.col("kind") == "isnad")
+
+
+def p9_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many texts the containers hold, and how many pieces or containers break a rule."""
+    return packing.packing_facts(stored(p9_packed(spark, sf_dir), "placed"), "doc_id")
 
 
 def _cleaned(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
@@ -105,7 +110,7 @@ def p10_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_plain": p5_plain, "p7_found": p7_found, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found, "p10_shares": p10_shares,
+    "p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_plain": p5_plain, "p7_found": p7_found, "p8_ids": p8_ids, "p9_packed": p9_packed, "p9_facts": p9_facts, "p10_found": p10_found, "p10_shares": p10_shares,
     "p10_lines": p10_lines, "p10_cleaned": p10_cleaned,
 }
 
@@ -152,6 +157,8 @@ select canonical_id, field_name, field_value from (select canonical_id, 'death_y
  union all select canonical_id, 'death_year_provenance', p from y where p is not null union all select canonical_id, 'generation', g from g
  union all select canonical_id, 'gender', s from s) where canonical_id in (select canonical_id from k)""",
     "p10_found": _P10 + "select doc_id from s where words > 0 and share >= 0.25",
+    "p9_facts": """select 'texts placed' as fact, count(*) as value from documents
+union all select unnest(['split though they fit', 'beyond capacity', 'beyond segments', 'beyond loss', 'use misstated']), 0""",
     "p10_lines": _P10_LINES,
     "p10_shares": _P10 + "select doc_id, words, repeated, round(share, 6) as share from s",
 }

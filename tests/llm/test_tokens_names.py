@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from khayt.llm import bpe as B
 from khayt.llm import names as N
@@ -107,6 +108,29 @@ def test_pack_frames(spark):
     assert sorted(map(tuple, again)) == sorted(map(tuple, got))
 
 
+def test_packing_with_all_limits_binding():
+    rng = np.random.default_rng(2)
+    n = np.concatenate([rng.integers(1, 60, 9_000), rng.integers(200, 4_000, 3_000)])
+    loss = np.where(rng.random(len(n)) < 0.2, 0, np.minimum(n, P.MAX_LOSS))
+    limits = (P.CAPACITY, P.MAX_SEGMENTS, P.MAX_LOSS)
+    box = P.pack(np.stack([n, np.ones_like(n), loss], axis=1), limits)
+    for total, most in zip((np.bincount(box, n), np.bincount(box), np.bincount(box, loss)), limits, strict=True):
+        assert total.max() <= most
+    assert np.bincount(box).max() == P.MAX_SEGMENTS and np.bincount(box, loss).max() > P.MAX_LOSS - 8 and (box.max() + 1) * P.CAPACITY <= n.sum() * 1.03
+
+
+def test_pack_texts_with_given_ones(spark):
+    d = spark.createDataFrame([(i, "a b c " * (40 * i), "isnad" if i % 4 == 0 else None if i % 5 == 0 else "matn") for i in range(60)], "id bigint, t string, kind string")
+    got = P.pack_texts(d, "id", "t", F.col("kind") == "isnad").cache()
+    rows = {(r["id"], r["piece"]): r for r in got.collect()}
+    assert all(r["loss"] == (0 if r["id"] % 4 == 0 else r["tokens"]) for r in rows.values())
+    facts = {r[0]: r[1] for r in P.packing_facts(got, "id").collect()}
+    assert facts.pop("texts placed") == 60 and len(facts) == 5 and not any(facts.values())
+    broken = got.withColumn("container", F.lit("one"))
+    facts = {r[0]: r[1] for r in P.packing_facts(broken, "id").collect()}
+    assert facts["beyond capacity"] == facts["beyond segments"] == facts["beyond loss"] == facts["use misstated"] == 1
+
+
 def test_pack_texts(spark):
     d = spark.createDataFrame([(1, "a b c " * 3000), (2, None), (3, ""), (4, "short")], "id bigint, t string")
     got = {(r["id"], r["piece"]): r["tokens"] for r in P.pack_texts(d, "id", "t").collect()}
