@@ -2,29 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from khayt.runtime import release, store
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Order-free: how many edges, and the sum and the xor of their hashes."""
-    h = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(20,0)")), F.bit_xor(h)).first())
+#: A node with more links than the larger of these (a number, a share of all links) is a hub. There are at most 2 / HUB_SHARE hubs.
+HUB_LINKS, HUB_SHARE = 1000, 1 / 500
+#: Parts into which the links of a hub are salted.
+SALTS = 4096
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _store(edges: DataFrame) -> tuple[DataFrame, str, tuple]:
+    """Store edges, and their order-free fingerprint, observed as they are written: how many edges, and the sum and the xor of their hashes."""
+    seen, h = Observation(), F.xxhash64("u", "v")
+    watched = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(20,0)")).alias("sum"), F.bit_xor(h).alias("xor"))
+    out, at = store(watched, "edges")
+    return out, at, tuple(seen.get[k] for k in ("n", "sum", "xor"))
+
+
+def _join_minima(edges: DataFrame, low: DataFrame, hub: int) -> DataFrame:
+    """Edges with the minimum ``m`` of their ``u``. low: (u, m, links).
+
+    The minima of hubs are broadcast (they are at most 2 / HUB_SHARE rows) and their links salted, so that no hub's links meet in one task; all other nodes hold a small share.
+    """
+    hubs = F.broadcast(low.where(F.col("links") > hub).select("u", F.col("m").alias("_hub")))
+    salted = edges.join(hubs, "u", "left").select(
+        F.when(F.col("_hub").isNull(), F.col("u")).alias("_u"), F.when(F.col("_hub").isNull(), F.lit(0)).otherwise(F.pmod(F.hash("v"), F.lit(SALTS)) + 1).alias("_salt"), "u", "v", "_hub"
+    )
+    rest = low.where(F.col("links") <= hub).select(F.col("u").alias("_u"), F.lit(0).alias("_salt"), "m")
+    return salted.join(rest, ["_u", "_salt"], "left").select("u", "v", F.coalesce("_hub", "m").alias("m"))
+
+
+def _large_star(edges: DataFrame, hub: int = HUB_LINKS) -> DataFrame:
     """Every node's larger neighbours go to the smallest of its neighbours and itself."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-    return both.where(F.col("v") > F.col("u")).join(low, "u").where(F.col("v") != F.col("m")).select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).distinct()
+    low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"), F.count(F.lit(1)).alias("links"))
+    larger = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))  # edges come as u > v
+    return _join_minima(larger, low, hub).where(F.col("v") != F.col("m")).select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hub: int = HUB_LINKS) -> DataFrame:
     """Every node and its smaller neighbours go to the smallest of them. Edges come as u > v."""
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("links"))
+    moved = _join_minima(edges, low, hub).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -34,22 +56,22 @@ def connected(edges: DataFrame, left: str = "left", right: str = "right", max_ro
     Both columns have one orderable type; strings go by code points. Null ends and self links are no links; repeated and reversed pairs count once. An id with no link to
     another has no row. No links or an empty table: no rows. Further columns are not read.
 
-    Each round is stored in the shared folder and the round before it deleted. A hub costs a row for each of its links: minima are aggregated before they are shuffled and
-    joined on, and the join on a hub is split by adaptive execution.
+    Each star's edges are stored in the shared folder and those before them deleted. A hub costs a row for each of its links: minima are aggregated before they are shuffled, and those of hubs
+    are broadcast to where their links are (see ``_join_minima``).
     """
     spark = edges.sparkSession
-    now, at = store(
+    now, at, seen = _store(
         edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
-        .where(F.col(left).isNotNull() & F.col(right).isNotNull() & (F.col(left) != F.col(right))).distinct(), "edges"
+        .where(F.col(left).isNotNull() & F.col(right).isNotNull() & (F.col(left) != F.col(right))).distinct()
     )
-    seen = _fingerprint(now)
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        following, to = store(_small_star(_large_star(now)), "edges")
-        release(spark, at)
-        now, at, last = following, to, seen
-        seen = _fingerprint(now)
+        last = seen
+        for star in (_large_star, _small_star):
+            following, to, made = _store(star(now, max(HUB_LINKS, int(seen[0] * HUB_SHARE))))
+            release(spark, at)
+            now, at, seen = following, to, made
         if seen == last:
             break
     else:

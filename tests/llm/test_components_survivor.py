@@ -46,6 +46,26 @@ def test_chain_star_and_empty(spark):
     assert {tuple(r) for r in ints} == {(3, 3), (5, 3), (9, 3)}
 
 
+def test_hub_is_spread_over_tasks(spark):
+    n = 20_000
+    name = lambda c: F.format_string("n%06d", c)
+    edges = spark.range(1, n).select(name("id").alias("u"), F.when(F.col("id") % 2 == 0, name(F.lit(0))).otherwise(name(F.col("id") - 1)).alias("v"))
+    turned = edges.select(F.when(F.col("v") == "n000000", F.lit("z")).otherwise(F.col("u")).alias("u"), F.when(F.col("v") == "n000000", F.col("u")).otherwise(F.col("v")).alias("v"))
+    was = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    for k, v in zip(was, ("false", "-1", "16"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        for star, given in ((C._large_star, edges), (C._small_star, turned)):
+            whole = lambda hub: {tuple(r) for r in star(given, hub).collect()}  # noqa: B023, E731
+            assert whole(100) == whole(10**9)
+        low = turned.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("links"))
+        spread = lambda hub: [r[1] for r in C._join_minima(turned, low, hub).where("m is not null").groupBy(F.spark_partition_id()).count().collect()]
+        assert max(spread(100)) < n / 8 and max(spread(10**9)) > n / 2.2 and sum(spread(100)) == n - 1
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_links_by_element_are_linear(spark):
     d = spark.createDataFrame([(f"n{i}", "hot") for i in range(200)] * 2 + [("a", None), (None, "e"), ("a", "solo")], "n string, e string")
     assert C.links_by_element(d, "n", "e").count() == 199
