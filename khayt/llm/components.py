@@ -10,8 +10,6 @@ from khayt.runtime import release, store
 
 #: A node with more links than the larger of these (a number, a share of all links) is a hub. There are at most 2 / HUB_SHARE hubs.
 HUB_LINKS, HUB_SHARE = 1000, 1 / 500
-#: Parts into which the links of a hub are salted.
-SALTS = 4096
 
 
 def _store(edges: DataFrame) -> tuple[DataFrame, str, tuple]:
@@ -28,10 +26,9 @@ def _join_minima(edges: DataFrame, low: DataFrame, hub: int) -> DataFrame:
     The minima of hubs are broadcast (they are at most 2 / HUB_SHARE rows) and their links salted, so that no hub's links meet in one task; all other nodes hold a small share.
     """
     hubs = F.broadcast(low.where(F.col("links") > hub).select("u", F.col("m").alias("_hub")))
-    salted = edges.join(hubs, "u", "left").select(
-        F.when(F.col("_hub").isNull(), F.col("u")).alias("_u"), F.when(F.col("_hub").isNull(), F.lit(0)).otherwise(F.pmod(F.hash("v"), F.lit(SALTS)) + 1).alias("_salt"), "u", "v", "_hub"
-    )
-    rest = low.where(F.col("links") <= hub).select(F.col("u").alias("_u"), F.lit(0).alias("_salt"), "m")
+    known = F.col("_hub").isNotNull()  # these match nothing below and lie by the hash of their other end
+    salted = edges.join(hubs, "u", "left").select(F.when(~known, F.col("u")).alias("_u"), F.xxhash64(F.when(known, F.col("v")).otherwise(F.col("u"))).alias("_salt"), "u", "v", "_hub")
+    rest = low.where(F.col("links") <= hub).select(F.col("u").alias("_u"), F.xxhash64("u").alias("_salt"), "m")
     return salted.join(rest, ["_u", "_salt"], "left").select("u", "v", F.coalesce("_hub", "m").alias("m"))
 
 
