@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from khayt.runtime import stored
+
 
 def _state(df: DataFrame, keys: Sequence[str], sums: Mapping[str, Column], tag: str) -> DataFrame:
     """One row a key: the number of rows and of each value its sum and how many were not null."""
@@ -34,7 +36,7 @@ def eager_join_aggregate(
     """What ``left JOIN right ON .. GROUP BY by_left, by_right`` gives, without building the join.
 
     on: pairs (left column, right column). Result: the group columns, ``rows`` (joined rows), ``left_rows`` (left rows that take part, each once for each of its
-    right groups), and of each named value ``sum_<name>`` and ``count_<name>`` over the joined rows (sums of floats are doubles).
+    right groups), ``keys`` (distinct join keys without null among these), and of each named value ``sum_<name>`` and ``count_<name>`` over the joined rows (sums of floats are doubles).
 
     how: ``inner`` or ``left``. With ``left``, a left row without partner counts once, its right columns null. Null join keys match nothing.
     Empty inputs give an empty result; further columns are ignored, as only those named are read, renamed so that clashing names do no harm.
@@ -55,7 +57,11 @@ def eager_join_aggregate(
     b = _state(rs.dropna(subset=keys), [*keys, *[f"_r_{c}" for c in by_right]], {n: F.col(f"_rv_{n}") for n in right_sums}, "b")
     j = a.join(b, keys, how)
     times = F.coalesce(F.col("_bn"), F.lit(1))
-    out = [F.sum(F.col("_an") * times).alias("rows"), F.sum("_an").alias("left_rows")]
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    # There is one state a key, left group and right group: states are keys.
+    out = [F.sum(F.col("_an") * times).alias("rows"), F.sum("_an").alias("left_rows"), F.count_if(whole).alias("keys")]
     for n in left_sums:
         out += [F.sum(F.col(f"_as_{n}") * times).alias(f"sum_{n}"), F.sum(F.col(f"_ac_{n}") * times).alias(f"count_{n}")]
     for n in right_sums:
@@ -63,28 +69,28 @@ def eager_join_aggregate(
     return j.groupBy(*[F.col(f"_l_{c}").alias(c) for c in by_left], *[F.col(f"_r_{c}").alias(c) for c in by_right]).agg(*out)
 
 
-def key_profile(rows: DataFrame, key: str, member: str, value: str) -> DataFrame:
-    """Per key: ``rows``, ``members`` (distinct non-null members) and ``mean_value`` (of the non-null values, null if none).
+def member_profile(rows: DataFrame, key: str, member: str, value: str, members: DataFrame, member_key: str) -> DataFrame:
+    """Per key, the null key included: ``rows`` as delivered, ``members`` (distinct non-null ones), ``on_record`` (rows whose member has a row in ``members``) and the ``total`` and
+    ``valued`` (how many) of the non-null values.
 
-    Two levels: states per (key, member), in which a hot key is spread over its members, then one roll-up of those states. Null keys are left out.
-    An empty table gives no rows. Ties and repeated rows count as they come.
+    An eager left join on the member: rows become one state per member and key, in which a hot key is spread over its members, ``members`` one state per member; the states are
+    joined, counts and sums combined and rolled up per key. Empty rows give no rows, empty members leave ``on_record`` 0. Ties and repeated rows count as they come.
     """
-    states = (
-        rows.select(F.col(key).alias("_key"), F.col(member).alias("_member"), F.col(value).cast("double").alias("_value"))
-        .where(F.col("_key").isNotNull())
-        .groupBy("_key", "_member")
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum("_value").alias("_s"), F.count("_value").alias("_c"))
-    )
-    return states.groupBy(F.col("_key").alias(key)).agg(
-        F.sum("_n").alias("rows"), F.count("_member").alias("members"), F.try_divide(F.sum("_s"), F.sum("_c")).alias("mean_value")
+    known = members.select(F.col(member_key).alias("_m")).where(F.col("_m").isNotNull()).distinct()
+    got = eager_join_aggregate(
+        rows.select(F.col(key).alias("_key"), F.col(member).alias("_member"), F.col(value).cast("double").alias("_value")), known.withColumn("_one", F.lit(1)), [("_member", "_m")],
+        by_left=["_key"], left_sums={"value": F.col("_value")}, right_sums={"one": F.col("_one")}, how="left",
+    )
+    return got.select(
+        F.col("_key").alias(key), F.col("left_rows").alias("rows"), F.col("keys").alias("members"), F.col("count_one").alias("on_record"), F.col("sum_value").alias("total"), F.col("count_value").alias("valued")
     )
 
 
-def heavy_keys(rows: DataFrame, key: str, one_in: int) -> DataFrame:
-    """Keys that hold at least one in ``one_in`` of all rows, the rows whose key is null counted among all: (key, rows, total).
+def heavy_keys(profile: DataFrame, key: str, one_in: int) -> DataFrame:
+    """Of a profile of keys, its null key included, those that hold at least one in ``one_in`` of all rows: (key, rows, total_rows).
 
-    The rows are reduced to one state per key; the total is the sum of the same states, joined back as a single row. Empty table: no rows.
+    The profile is stored, and the total is rolled up from it and joined back as a single row. Empty profile: no rows. The null key counts in the total and is no key itself.
     """
-    states = rows.groupBy(F.col(key).alias(key)).agg(F.count(F.lit(1)).alias("rows"))
-    total = states.agg(F.sum("rows").alias("total"))
-    return states.where(F.col(key).isNotNull()).join(F.broadcast(total), F.col("rows") * F.lit(one_in) >= F.col("total"))
+    states = stored(profile.select(key, "rows"), "profile")
+    total = states.agg(F.sum("rows").alias("total_rows"))
+    return states.where(F.col(key).isNotNull()).join(F.broadcast(total), F.col("rows") * F.lit(one_in) >= F.col("total_rows"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from khayt.operators.references import orphan_references, parent_states
-from khayt.operators.skew import eager_join_aggregate, heavy_keys, key_profile
+from khayt.operators.skew import eager_join_aggregate, heavy_keys, member_profile
 from khayt.runtime import table
 
 #: child table, its record, the field that refers, the key it refers to, parent table, its key
@@ -36,14 +36,24 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_found(spark, sf_dir).groupBy("table_name", "field_name", "period", "state").agg(F.count(F.lit(1)).alias("records"), F.countDistinct("missing_key").alias("keys"))
 
 
+def _narrators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per narrator, from the eager join of mentions and hadiths."""
+    return member_profile(table(spark, sf_dir, "mentions_resolved"), "canonical_narrator_id", "hadith_id", "confidence", table(spark, sf_dir, "hadiths"), "source_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return heavy_keys(table(spark, sf_dir, "mentions_resolved"), "canonical_narrator_id", HEAVY_ONE_IN).select("canonical_narrator_id")
+    return heavy_keys(_narrators(spark, sf_dir), "canonical_narrator_id", HEAVY_ONE_IN).select("canonical_narrator_id")
 
 
 def p6_narrators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per narrator: mentions as delivered, distinct hadiths, mean confidence."""
-    got = key_profile(table(spark, sf_dir, "mentions_resolved"), "canonical_narrator_id", "hadith_id", "confidence")
-    return got.select("canonical_narrator_id", "rows", F.col("members").alias("hadiths"), F.round("mean_value", 4).alias("mean_confidence"))
+    got = _narrators(spark, sf_dir).where(F.col("canonical_narrator_id").isNotNull())
+    return got.select("canonical_narrator_id", "rows", F.col("members").alias("hadiths"), F.round(F.try_divide("total", "valued"), 4).alias("mean_confidence"))
+
+
+def p6_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per narrator: mentions as delivered, and those whose hadith was delivered."""
+    return _narrators(spark, sf_dir).where(F.col("canonical_narrator_id").isNotNull()).select("canonical_narrator_id", "rows", "on_record")
 
 
 def p6_books(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,12 +79,14 @@ _PARTS = [
 ]
 _P2 = "with " + ",\n".join(_GONE.format(**x) for x in _PARTS) + ",\nfound as (" + "\nunion all\n".join(_FOUND.format(**x) for x in _PARTS) + ")\n"
 
-QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p6_found": p6_found, "p6_narrators": p6_narrators, "p6_books": p6_books}
+QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p6_found": p6_found, "p6_narrators": p6_narrators, "p6_delivered": p6_delivered, "p6_books": p6_books}
 SQL = {
     "p2_found": _P2 + "select * from found",
     "p2_report": _P2 + "select table_name, field_name, period, state, count(*) as records, count(distinct missing_key) as keys from found group by all",
     "p6_found": "select canonical_narrator_id from mentions_resolved where canonical_narrator_id is not null group by 1 having count(*) * 40 >= (select count(*) from mentions_resolved)",
     "p6_narrators": """select canonical_narrator_id, count(*) as rows, count(distinct hadith_id) as hadiths, round(avg(confidence::double), 4) as mean_confidence
+ from mentions_resolved where canonical_narrator_id is not null group by 1""",
+    "p6_delivered": """select canonical_narrator_id, count(*) as rows, count(*) filter (hadith_id in (select source_id from hadiths where source_id is not null)) as on_record
  from mentions_resolved where canonical_narrator_id is not null group by 1""",
     "p6_books": """select canonical_narrator_id, collection_name, count(*) as rows, round(sum(confidence::double), 3) as confidence
  from mentions_resolved join hadiths on hadith_id = source_id where canonical_narrator_id is not null group by 1, 2""",

@@ -33,17 +33,20 @@ def test_empty_and_null(spark):
     a, b = frames(spark)
     assert K.eager_join_aggregate(a.limit(0), b, [("k", "k")], ["g"], []).count() == 0
     assert K.eager_join_aggregate(a, b.limit(0), [("k", "k")], ["g"], []).count() == 0
-    assert K.key_profile(a.limit(0), "k", "g", "v").count() == 0
-    none = spark.createDataFrame([(None, None, None, 1)] * 3, L)
-    assert K.key_profile(none, "k", "g", "v").count() == 0 and K.heavy_keys(none, "k", 4).count() == 0
+    assert K.member_profile(a.limit(0), "k", "g", "v", b, "h").count() == 0
+    assert {r["on_record"] for r in K.member_profile(a, "k", "g", "v", b.limit(0), "h").collect()} == {0}
+    none = K.member_profile(spark.createDataFrame([(None, None, None, 1)] * 3, L), "k", "g", "v", b, "h")
+    assert [tuple(r) for r in none.collect()] == [(None, 3, 0, 0, None, 0)] and K.heavy_keys(none, "k", 4).count() == 0 and K.heavy_keys(none.limit(0), "k", 4).count() == 0
 
 
 def test_profile_and_heavy(spark):
     a, _ = frames(spark)
-    got = {r["k"]: r for r in K.key_profile(a, "k", "g", "v").collect()}
-    rows = [r for r in a.collect() if r["k"] == "hot"]
-    v = [r["v"] for r in rows if r["v"] is not None]
-    assert got["hot"]["rows"] == len(rows) and got["hot"]["members"] == len({r["g"] for r in rows} - {None}) and abs(got["hot"]["mean_value"] - sum(v) / len(v)) < 1e-9
-    assert None not in got
-    df = spark.createDataFrame([("a",)] * 10 + [("b",)] * 9 + [(None,)] * 381, "k string")
-    assert [r[0] for r in K.heavy_keys(df, "k", 40).collect()] == ["a"]
+    known = spark.createDataFrame([("x", "clash"), ("x", ""), (None, "")], "member string, rows string")
+    got = {r["k"]: r for r in K.member_profile(a, "k", "g", "v", known, "member").collect()}
+    for k in {r["k"] for r in a.collect()}:
+        rows = [r for r in a.collect() if r["k"] == k]
+        v = [r["v"] for r in rows if r["v"] is not None]
+        assert (got[k]["rows"], got[k]["members"], got[k]["on_record"], got[k]["valued"]) == (len(rows), len({r["g"] for r in rows} - {None}), sum(r["g"] == "x" for r in rows), len(v))
+        assert abs(got[k]["total"] - sum(v)) < 1e-9
+    df = spark.createDataFrame([("a", 10), ("b", 9), (None, 381)], "k string, rows bigint")
+    assert [tuple(r) for r in K.heavy_keys(df, "k", 40).collect()] == [("a", 10, 400)]
