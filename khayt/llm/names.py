@@ -1,17 +1,18 @@
 """Variant spellings of personal names: a symmetric-delete index on tokens, and tokens aligned by optimal assignment.
 
-A name is cut into tokens with roles it may have: by-name (Abu X), given name, father, grandfather, home (al-X). Distinct tokens of both sides are linked where their spellings, or
-their sounds in Latin letters, differ by at most one edit; for that each token is indexed under itself and under every spelling with one letter left out. Pairs of linked tokens
-are the blocks in which a spelling meets the names on record, so that no block hangs on a frequent given name alone. Each meeting is scored by the cheapest assignment of the
-spelling's tokens to the roles of the name, line of descent in order, initials permitted; a spelling is linked if one person fits best.
+A name is cut into tokens with roles it may have: by-name (Abu X), the line of descent (given name, father, grandfather and so on, of any length), homes (al-X). Distinct tokens of
+both sides are linked where their spellings, or their sounds in Latin letters, differ by at most one edit, or where one is an abbreviation or a nickname of the other; for that each token
+is indexed under itself and under every spelling with one letter left out. Pairs of linked tokens are the blocks in which a spelling meets the names on record, so that no block
+hangs on a frequent given name alone. Each meeting is scored by the cheapest assignment of the spelling's tokens to the roles of the name, line of descent in order,
+initials, abbreviations and nicknames permitted; a spelling is linked if one person fits best.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
+from functools import cache, lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -39,7 +40,13 @@ WISHES = re.compile(
 )
 ARTICLE = re.compile(r"^(?:al|el|ul|as|ad|at|ar|az|an|ash|adh|ath)[-‐‑– ]+(?=['\w])|^ال(?=\w{2})")
 _FOLD = str.maketrans({"أ": "ا", "إ": "ا", "آ": "ا", "ٱ": "ا", "ة": "ه", "ى": "ي", "ؤ": "و", "ئ": "ي", "ء": None, "ـ": None, "پ": "ب", "چ": "ج", "ژ": "ز", "گ": "ك"})
-SERVANT = frozenset(("عبد", "abd", "abdul", "abdal", "abdel"))
+# Nicknames and the names they stand for.
+NICKNAMES = {
+    "حموده": ("محمد", "احمد"), "حماده": ("محمد", "احمد"), "عبود": ("عبدالله",), "عبدو": ("عبدالله", "عبدالرحمن"), "فطوم": ("فاطمه",), "زنوبه": ("زينب",), "خدوج": ("خديجه",), "علاوي": ("علي",),
+    "بهيم": ("ابراهيم",), "سلومه": ("سليمان",), "عيوش": ("عايشه",),
+    "hamuda": ("muhammad", "ahmad"), "hamada": ("muhammad", "ahmad"), "mo": ("muhammad",), "abbud": ("abdallah",), "abdu": ("abdallah", "abdrahman"), "fattum": ("fatima",), "zannuba": ("zaynab",),
+    "khadduj": ("khadija",), "allawi": ("ali",), "brahim": ("ibrahim",), "sliman": ("sulayman",), "ayyush": ("aisha",),
+}
 
 
 def plain(name: str) -> str:
@@ -134,10 +141,21 @@ def distance(a: str, b: str, most: int = 1) -> int:
 
 
 #: Costs of an assignment; a token with an edit costs one.
-RESPELT, EDIT, INITIAL, NO_ROLE = 0.25, 1.0, 0.5, 9.0
+RESPELT, EDIT, INITIAL, SHORTENED, NO_ROLE = 0.25, 1.0, 0.5, 1.0, 9.0
 MOST = 2.1
 
 
+def is_abbreviation(a: str, b: str) -> bool:
+    """Whether Latin token a shortens b: its beginning, or letters of it in order with the first two and the last (dropped vowels, Muhd); at least three letters, two fewer than b."""
+    a, b = (x if x.isascii() else "" for x in (a, b))
+    if not 3 <= len(a) <= len(b) - 2:
+        return False
+    if b.startswith(a) or sound(b).startswith(sound(a)):
+        return True
+    rest = iter(b)
+    return a[:2] == b[:2] and a[-1] == b[-1] and all(c in rest for c in a)
+
+
 @lru_cache(1 << 18)
 def token_cost(a: str, b: str) -> float:
     """0 the same, RESPELT the same sound, EDIT one edit apart, in spelling or sound; NO_ROLE otherwise."""
@@ -150,79 +168,104 @@ def token_cost(a: str, b: str) -> float:
         return EDIT
     if a.isascii() and len(sa) >= 3 and len(sb) >= 3 and distance(sa, sb) == 1:
         return EDIT + RESPELT
+    if b in _nicknames().get(sa, ()) or is_abbreviation(a, b):
+        return SHORTENED
     return NO_ROLE
 
 
-ROLES = ("k", "g", "f", "p", "n")  # by-name, given name, father, grandfather (paternal), home
+@cache
+def _nicknames() -> dict[str, frozenset[str]]:
+    """By sound, the names a nickname stands for, in all spellings of the same sound that the table has."""
+    out: dict[str, frozenset[str]] = {}
+    for nick, names in NICKNAMES.items():
+        out[sound(nick)] = out.get(sound(nick), frozenset()) | frozenset(names)
+    return out
+
+
+#: What is told of a person in one script: by-name, line of descent (given name first), homes.
+TOLD = "k string, line array<string>, homes array<string>"
 
 
-def roles_of(tokens: tuple[tuple[str, str], ...]) -> dict[str, str]:
-    """The roles of a name on record: by-names are marked, the line follows joints, the last token is the home if it has the article or follows no joint."""
-    out: dict[str, str] = {}
-    line: list[str] = []
+def roles_of(tokens: tuple[tuple[str, str], ...]) -> tuple[str | None, list[str], list[str]]:
+    """(by-name, line, homes) of a name on record: by-names are marked, the line follows joints, tokens with the article or without a joint after the given name are homes."""
+    byname, line, homes = None, [], []
     for t, flags in tokens:
         if "k" in flags:
-            out["k"] = t
-        elif "j" in flags or not line:
-            line.append(t) if not ("a" in flags and line and "j" not in flags) and not ("a" in flags and not line and out.get("k")) else out.__setitem__("n", t)
-        else:
-            out["n"] = t
-    for role, t in zip(("g", "f", "p"), line, strict=False):
-        out[role] = t
-    return out
+            byname = t
+        elif "j" in flags or not (line or ("a" in flags and byname)):
+            line.append(t)
+        elif t not in homes:
+            homes.append(t)
+    return byname, line, homes
+
+
+def initial_cost(text: str, name: str) -> float:
+    """Of a token with a dot: one that the name begins with, or that shortens it."""
+    if name.startswith(text) or sound(name).startswith(sound(text)):
+        return INITIAL
+    return SHORTENED if is_abbreviation(text, name) else NO_ROLE
 
 
-def assign(tokens: tuple[tuple[str, str], ...], roles: dict[str, str], known: frozenset[str] = frozenset()) -> tuple[float, str]:
-    """(cost, roles filled) of the cheapest assignment of all tokens to different roles, given name, father and grandfather in order; cost NO_ROLE or more if there is none.
+def assign(tokens: tuple[tuple[str, str], ...], byname: str | None, line: Sequence[str], homes: Sequence[str], known: frozenset[str] = frozenset()) -> tuple[float, str]:
+    """(cost, roles filled) of the cheapest assignment of all tokens to different roles, those of the line of descent in order; cost NO_ROLE or more if there is none.
 
-    known: tokens that are names of their own; such a token is never taken for an edit of another.
+    Roles filled: k by-name, g given name, f father, p one further up, n home. known: tokens that are names of their own; such a token is never taken for an edit or
+    abbreviation of another. One token after another is placed; of equal states (place in the line, by-name and homes used) only the cheapest is kept.
     """
-    best = (NO_ROLE, "")
-
-    def place(i: int, used: str, line: int, cost: float) -> None:
-        nonlocal best
-        if cost >= best[0] or cost > MOST:
-            return
-        if i == len(tokens):
-            best = (cost, used)
-            return
-        text, flags = tokens[i]
-        for role in ROLES:
-            if role in used or role not in roles or ("k" in flags) != (role == "k"):
-                continue
-            at = "gfp".find(role)
-            if at >= 0 and (at < line or "a" in flags and "j" not in flags):
-                continue
-            if role == "n" and "j" in flags:
-                continue
-            if "i" in flags:
-                c = INITIAL if role == "g" and (roles[role].startswith(text) or sound(roles[role]).startswith(sound(text))) else NO_ROLE
-            else:
-                c = token_cost(text, roles[role])
-                if c >= EDIT and text in known:
-                    c = NO_ROLE
-            if c < NO_ROLE:
-                place(i + 1, used + role, at + 1 if at >= 0 else line, cost + c)
+    states: dict[tuple[int, frozenset[int], str], float] = {(0, frozenset(), ""): 0.0}
+    for text, flags in tokens:
+        following: dict[tuple[int, frozenset[int], str], float] = {}
 
-    place(0, "", 0, 0.0)
-    return best
+        def cost_of(name: str, text: str = text, flags: str = flags) -> float:
+            if "i" in flags:
+                return initial_cost(text, name)
+            c = token_cost(text, name)
+            return NO_ROLE if c >= EDIT and text in known else c
+
+        def put(state: tuple, cost: float, following: dict = following) -> None:
+            if cost <= MOST and cost < following.get(state, NO_ROLE):
+                following[state] = cost
+
+        as_byname = cost_of(byname) if "k" in flags and byname else NO_ROLE
+        in_line = {at: c for at, name in enumerate(line) if (c := cost_of(name)) < NO_ROLE} if "k" not in flags and ("a" not in flags or "j" in flags) else {}
+        as_home = {at: c for at, name in enumerate(homes) if (c := cost_of(name)) < NO_ROLE} if "k" not in flags and "j" not in flags and "i" not in flags else {}
+        for (next_, used, filled), cost in states.items():
+            if as_byname < NO_ROLE and "k" not in filled:
+                put((next_, used, "".join(sorted({*filled, "k"}))), cost + as_byname)
+            for at, c in in_line.items():
+                if at >= next_:
+                    put((at + 1, used, "".join(sorted({*filled, "gfp"[min(at, 2)]}))), cost + c)
+            for at, c in as_home.items():
+                if at not in used:
+                    put((next_, used | {at}, "".join(sorted({*filled, "n"}))), cost + c)
+        states = following
+        if not states:
+            return NO_ROLE, ""
+    cost, filled = min((cost, filled) for (_, _, filled), cost in states.items())
+    return cost, filled
 
 
 def enough(filled: str, tokens: tuple[tuple[str, str], ...]) -> bool:
-    """Whether the roles filled tell a person: given name and father with one more, or a by-name or grandfather with what makes it more than a bare name."""
+    """Whether the roles filled tell a person: given name and father, of which initials prove nothing, or a by-name or grandfather with what makes it more than a bare name."""
     got = set(filled)
-    strong = len(got) - any("i" in f for _, f in tokens)
-    return {"g", "f"} <= got and len(got) >= 2 and strong >= 2 or {"k", "n"} <= got or {"k", "g"} <= got or {"g", "p", "n"} <= got
+    strong = len(tokens) - sum("i" in f for _, f in tokens)
+    return {"g", "f"} <= got and strong >= 2 or {"k", "n"} <= got or {"k", "g"} <= got or {"g", "p", "n"} <= got and strong >= 2
 
 
-#: Tokens of a spelling that can be assigned: one for each role.
-MOST_TOKENS = len(ROLES)
+def keys_of(token: str, on_record: bool) -> set[str]:
+    """The spellings under which a token is indexed: itself and with one letter left out, and its sound in the same way; and under what shortens it.
 
-
-def keys_of(token: str) -> set[str]:
-    """The spellings under which a token is indexed: itself and with one letter left out, and its sound in the same way."""
+    A name on record is indexed under its beginnings and under its first two letters with its last; a token of a spelling under itself in these ways, and under the names it is a nickname of.
+    """
     s = sound(token)
-    return {f"w{token}", f"s{s}"} | {f"w{token[:i]}{token[i + 1 :]}" for i in range(len(token))} | {f"s{s[:i]}{s[i + 1 :]}" for i in range(len(s))}
+    out = {f"w{token}", f"s{s}"} | {f"w{token[:i]}{token[i + 1 :]}" for i in range(len(token))} | {f"s{s[:i]}{s[i + 1 :]}" for i in range(len(s))}
+    if not token.isascii():
+        return out if on_record else out | {f"w{name}" for name in _nicknames().get(s, ())}
+    if on_record:
+        out |= {f"p{x[:i]}" for x in (token, s) for i in range(2, len(x))}
+    else:
+        out |= {f"w{name}" for name in _nicknames().get(s, ())} | ({f"p{token}", f"p{s}"} if len(token) >= 3 else set())
+    return out | ({f"c{token[:2]}{token[-1]}"} if len(token) >= (5 if on_record else 3) else set())
 
 
 def _script(text: str) -> str:
@@ -230,9 +273,8 @@ def _script(text: str) -> str:
 
 
 def _parsed(names: DataFrame, as_roles: bool) -> DataFrame:
-    """(id, script, tokens or roles) of (id, name) with plain names; what is no name has no row."""
-    kind = "k string, g string, f string, p string, n string" if as_roles else "tokens array<struct<t:string,f:string>>"
-    fields = ROLES if as_roles else ("tokens",)
+    """(id, script, tokens or what is told) of (id, name) with plain names; what is no name has no row."""
+    kind, fields = (TOLD, ("k", "line", "homes")) if as_roles else ("tokens array<struct<t:string,f:string>>", ("tokens",))
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -240,10 +282,10 @@ def _parsed(names: DataFrame, as_roles: bool) -> DataFrame:
             for key, name in zip(frame["id"], frame["name"], strict=True):
                 tokens = parse(name)
                 if as_roles:
-                    roles = roles_of(tokens)
-                    if len(roles) > 1:
-                        rows.append((key, _script(name), *(roles.get(r) for r in ROLES)))
-                elif len(tokens) <= MOST_TOKENS and not is_nobody(tokens):
+                    byname, line, homes = roles_of(tokens)
+                    if (byname is not None) + len(line) + len(homes) > 1:
+                        rows.append((key, _script(name), byname, line, homes))
+                elif not is_nobody(tokens):
                     rows.append((key, _script(name), [{"t": t, "f": f} for t, f in tokens]))
             yield pd.DataFrame(rows, columns=["id", "script", *fields])
 
@@ -253,10 +295,13 @@ def _parsed(names: DataFrame, as_roles: bool) -> DataFrame:
 def _links(spelt: DataFrame, known: DataFrame) -> DataFrame:
     """(script, t, v, cost): tokens of spellings with the tokens on record they may stand for, by the symmetric-delete index."""
 
-    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(s, t, k) for s, t in zip(frame["script"], frame["t"], strict=True) for k in keys_of(t)]
-            yield pd.DataFrame(rows, columns=["script", "t", "key"])
+    def spread(on_record: bool):
+        def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                rows = [(s, t, k) for s, t in zip(frame["script"], frame["t"], strict=True) for k in keys_of(t, on_record)]
+                yield pd.DataFrame(rows, columns=["script", "t", "key"])
+
+        return work
 
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -265,70 +310,97 @@ def _links(spelt: DataFrame, known: DataFrame) -> DataFrame:
 
     kind = "script string, t string, key string"
     left = spelt.select("script", "t", "own").distinct()
-    index = known.select("script", F.col("v").alias("t")).distinct().mapInPandas(spread, kind).withColumnRenamed("t", "v")
-    met = left.select("script", "t").mapInPandas(spread, kind).join(index, ["script", "key"]).select("script", "t", "v").distinct()
+    index = known.select("script", F.col("v").alias("t")).distinct().mapInPandas(spread(True), kind).withColumnRenamed("t", "v")
+    met = left.select("script", "t").mapInPandas(spread(False), kind).join(index, ["script", "key"]).select("script", "t", "v").distinct()
     return met.join(left, ["script", "t"]).select("script", "t", "v", "own").mapInPandas(verify, "script string, t string, v string, cost double")
 
 
 def profiles(persons: DataFrame) -> DataFrame:
-    """(person, script, k, g, f, p, n): what each person's names on record say in each script, roles that one name leaves out taken from the person's other names.
+    """(person, script, k, line, homes): what each person's names on record say in each script; what one name leaves out (by-name, homes, ancestors beyond its last) is taken from the
+    person's other names.
 
     persons: (person, name), plain names, repeats allowed.
     """
     said = stored(_parsed(persons.select(F.col("person").alias("id"), "name").dropna().distinct(), True).withColumnRenamed("id", "person").distinct(), "names")
     by = ["person", "script"]
-    fill = {
-        "k": said.where("k is not null").select(*by, F.col("k").alias("k2")).distinct(),
-        "n": said.where("n is not null").select(*by, F.col("n").alias("n2")).distinct(),
-        "p": said.where("g is not null and f is not null and p is not null").select(*by, "g", "f", F.col("p").alias("p2")).distinct(),
-    }
-    out = said.join(fill["k"], by, "left").join(fill["n"], by, "left").join(fill["p"], [*by, "g", "f"], "left")
-    return out.select(*by, *[F.coalesce(r, f"{r}2").alias(r) if r in fill else F.col(r) for r in ROLES]).distinct()
+    bynames = said.where("k is not null").select(*by, F.col("k").alias("k2")).distinct()
+    homes = said.where("size(homes) > 0").select(*by, F.col("homes").alias("homes2")).distinct()
+    first = [F.get("line", F.lit(i)).alias(n) for i, n in enumerate(("_g", "_f"))]
+    lines = said.where("size(line) > 2").select(*by, *first, F.col("line").alias("line2")).distinct()
+    out = said.select("*", *first).join(bynames, by, "left").join(homes, by, "left").alias("a")
+    longer = F.expr("size(line2) > size(line) and slice(line2, 1, size(line)) = line")
+    out = out.join(lines.alias("b"), [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*by, "_g", "_f")] + [longer], "left")
+    no_homes = F.size("homes") == 0
+    return out.select(
+        "a.person", "a.script", F.coalesce("k", "k2").alias("k"), F.coalesce("line2", "line").alias("line"), F.when(no_homes, F.coalesce("homes2", "homes")).otherwise(F.col("homes")).alias("homes")
+    ).distinct()
+
+
+#: A name on record with more tokens than this is found by its single tokens, not by their pairs, whose number grows with the square.
+PAIRED = 12
+#: Tokens of a spelling are paired with so many that follow.
+AHEAD = 4
+
+
+def _blocks(known: DataFrame) -> DataFrame:
+    """(script, x, y, pid): the pairs x <= y of tokens of each name on record; of names of more than PAIRED tokens the single tokens, with an empty y."""
+    tokens = known.select("pid", "script", F.array_distinct(F.array_compact(F.concat(F.array("k"), "line", "homes"))).alias("t"))
+    some = F.size("t") <= PAIRED
+    pairs = F.flatten(F.transform("t", lambda x, i: F.transform(F.expr("t"), lambda y, j: F.when(j > i, F.struct(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))))))
+    pairs = F.filter(pairs, lambda p: p.isNotNull())
+    # A token that a name has twice (a man named after his grandfather) pairs with itself.
+    twice = F.expr("transform(filter(t, v -> size(filter(whole, w -> w = v)) > 1), v -> struct(v as x, v as y))")
+    whole = known.select("pid", F.array_compact(F.concat(F.array("k"), "line", "homes")).alias("whole"))
+    short = tokens.where(some).join(whole, "pid").select("pid", "script", F.inline(F.concat(pairs, twice)))
+    long = tokens.where(~some).select("pid", "script", F.explode("t").alias("x"), F.lit("").alias("y"))
+    return short.unionByName(long).distinct()
 
 
 def same_person(spellings: DataFrame, persons: DataFrame) -> DataFrame:
     """(id, person) for each spelling (id, name) that means one person among persons (person, name); names come in plain form.
 
-    Null, empty, over-long and bare names, words of kinship and spellings that fit two persons equally well mean nobody. Repeated rows count once. Persons without a name
-    are never meant; no persons or no spellings give no rows. Ids are text. Tokens of a spelling must all find their role, so each pair of them is necessary: a spelling is
-    compared with the names in the smallest of its pairs' blocks only, which loses nothing.
+    Null, empty and bare names, words of kinship and spellings that fit two persons equally well mean nobody. Names have any number of tokens. Repeated rows count once. Persons without a
+    name are never meant; no persons or no spellings give no rows. Ids are text. Tokens of a spelling must all find their role, so each pair of them is necessary: a spelling is
+    compared with the names in the smallest of its pairs' blocks only (tokens paired with the AHEAD following), which loses nothing.
     """
     names = spellings.select("id", "name").dropna().distinct()
     forms = stored(_parsed(names.select(F.col("name").alias("id"), "name").distinct(), False), "spellings").withColumnRenamed("id", "name")
-    known = stored(profiles(persons).withColumn("pid", F.xxhash64("person", "script", *ROLES)), "profiles")
-    roles = known.select("script", F.inline(F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("v")) for r in ROLES]))).where("v is not null")
-    own = roles.where(F.col("role").isin("g", "f", "p")).select("script", F.col("v").alias("t")).distinct().withColumn("own", F.lit(True))
+    known = stored(profiles(persons).withColumn("pid", F.xxhash64("person", "script", "k", "line", "homes")), "profiles")
+    roles = known.select("script", F.col("k").alias("v"), F.lit(False).alias("own")).where("v is not null").unionByName(
+        known.select("script", F.explode("line").alias("v"), F.lit(True).alias("own"))).unionByName(known.select("script", F.explode("homes").alias("v"), F.lit(False).alias("own")))
+    own = roles.where("own").select("script", F.col("v").alias("t")).distinct().withColumn("own", F.lit(True))
     cells = forms.select("name", "script", F.posexplode("tokens").alias("pos", "x")).select("name", "script", "pos", F.col("x.t").alias("t"), F.col("x.f").alias("f"))
     cells = stored(cells.join(own, ["script", "t"], "left").withColumn("own", F.coalesce("own", F.lit(False))), "tokens")
-    links = _links(cells.where(~F.col("f").contains("i")), roles)
-    # A pair of tokens of a spelling meets the pairs of tokens of the names on record.
-    may = cells.where(~F.col("f").contains("i")).join(links, ["script", "t"]).select("name", "script", "pos", "v")
-    a, b = may.select("name", "script", F.col("pos").alias("i"), F.col("v").alias("x")), may.select("name", F.col("pos").alias("j"), F.col("v").alias("y"))
-    asked = a.join(b, "name").where("i < j").select("name", "script", "i", "j", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    pairs = [(r, q) for n, r in enumerate(ROLES) for q in ROLES[n + 1 :]]
-    blocks = stored(
-        known.select("pid", "script", F.inline(F.array(*[F.struct(F.least(r, q).alias("x"), F.greatest(r, q).alias("y"), (F.col(r).isNotNull() & F.col(q).isNotNull()).alias("both")) for r, q in pairs])))
-        .where("both").select("script", "x", "y", "pid").distinct(), "blocks"
-    )
+    spelt = cells.where(~F.col("f").contains("i"))
+    links = _links(spelt, roles)
+    # A pair of tokens of a spelling meets the pairs of tokens of the names on record; single tokens meet those of the very long ones.
+    may = stored(spelt.join(links, ["script", "t"]).select("name", "script", "pos", "v"), "may")
+    part = lambda pos: F.floor(pos / AHEAD)  # noqa: E731  a token and the AHEAD that follow lie in one part or two
+    a = may.select("name", "script", F.col("pos").alias("i"), F.col("v").alias("x"), F.explode(F.array(part(F.col("pos")), part(F.col("pos")) + 1)).alias("_part"))
+    b = may.select("name", F.col("pos").alias("j"), F.col("v").alias("y"), part(F.col("pos")).alias("_part"))
+    asked = a.join(b, ["name", "_part"]).where(F.expr(f"i < j and j <= i + {AHEAD}")).select("name", "script", "i", "j", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    asked = asked.unionByName(may.select("name", "script", F.col("pos").alias("i"), F.lit(-1).alias("j"), F.col("v").alias("x"), F.lit("").alias("y")))
+    blocks = stored(_blocks(known), "blocks")
     sizes = blocks.groupBy("script", "x", "y").agg(F.count(F.lit(1)).alias("size"))
     asked = stored(asked.join(sizes, ["script", "x", "y"]), "pairs")
-    best = asked.groupBy("name", "i", "j").agg(F.sum("size").alias("size")).groupBy("name").agg(F.min(F.struct("size", "i", "j")).alias("best"))
-    chosen = asked.join(best, "name").where((F.col("i") == F.col("best.i")) & (F.col("j") == F.col("best.j"))).select("name", "script", "x", "y")
+    single = (F.col("j") < 0).alias("single")
+    best = asked.groupBy("name", "i", "j").agg(F.sum("size").alias("size")).groupBy("name", single).agg(F.min(F.struct("size", "i", "j")).alias("best"))
+    chosen = asked.withColumn("single", single).join(best, ["name", "single"]).where((F.col("i") == F.col("best.i")) & (F.col("j") == F.col("best.j"))).select("name", "script", "x", "y")
     met = chosen.join(blocks, ["script", "x", "y"]).select("name", "pid").distinct()
     flagged = cells.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("pos", "t", "f", "own"))).alias("tokens"))
-    rows = met.join(flagged, "name").join(known.select("pid", "person", *ROLES), "pid")
+    rows = met.join(flagged, "name").join(known.select("pid", "person", "k", "line", "homes"), "pid")
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for name, person, tokens, *values in zip(frame["name"], frame["person"], frame["tokens"], *(frame[r] for r in ROLES), strict=True):
+            for name, person, tokens, byname, line, homes in zip(*(frame[c] for c in ("name", "person", "tokens", "k", "line", "homes")), strict=True):
                 given = tuple((x["t"], x["f"]) for x in tokens)
-                cost, filled = assign(given, {r: v for r, v in zip(ROLES, values, strict=True) if isinstance(v, str)}, frozenset(x["t"] for x in tokens if x["own"]))
+                cost, filled = assign(given, byname if isinstance(byname, str) else None, list(line), list(homes), frozenset(x["t"] for x in tokens if x["own"]))
                 if cost < NO_ROLE and enough(filled, given):
                     out.append((name, person, cost))
             yield pd.DataFrame(out, columns=["name", "person", "cost"])
 
-    scored = stored(rows.select("name", "person", "tokens", *ROLES).mapInPandas(score, "name string, person string, cost double"), "scored")
+    scored = stored(rows.select("name", "person", "tokens", "k", "line", "homes").mapInPandas(score, "name string, person string, cost double"), "scored")
     least = scored.groupBy("name").agg(F.min("cost").alias("cost"))
     one = scored.join(least, ["name", "cost"]).groupBy("name").agg(F.min("person").alias("person"), F.max("person").alias("_last")).where(F.col("person") == F.col("_last"))
     return names.join(one.select("name", "person"), "name").groupBy("id").agg(F.min("person").alias("person"), F.max("person").alias("_last")).where(F.col("person") == F.col("_last")).select("id", "person")

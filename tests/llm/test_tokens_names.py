@@ -182,4 +182,29 @@ def test_index_finds_every_near_token():
     for a, b in itertools.combinations(words, 2):
         assert N.distance(a, b) == min(2, edits(a, b))
         if N.distance(a, b) <= 1 or N.distance(N.sound(a), N.sound(b)) <= 1:
-            assert N.keys_of(a) & N.keys_of(b)
+            assert N.keys_of(a, False) & N.keys_of(b, True)
+    for a, b in (("muhd", "muhammad"), ("abdr", "abdrahman"), ("khl", "khalil"), ("mo", "muhammad"), ("brahim", "ibrahim"), ("حماده", "احمد")):
+        assert N.token_cost(a, b) == N.SHORTENED and N.keys_of(a, False) & N.keys_of(b, True)
+    assert N.token_cost("md", "muhammad") == N.token_cost("hsyn", "hasan") == N.NO_ROLE
+
+
+LINEAGE = "محمد بن عبد الله بن عمر بن علي بن حسن بن خالد بن سذان بن طعيشة"
+
+
+def test_names_of_any_length_and_short_forms(spark):
+    long = " بن ".join(f"اسم{chr(0x628 + i % 20)}{chr(0x628 + i // 20)}" for i in range(200))
+    persons = spark.createDataFrame(
+        [("1", LINEAGE + " البصري الحنفي"), ("2", "محمد بن عبد الله بن عمر بن علي بن زيد البصري"), ("3", "Muhammad ibn Abd al-Rahman ibn Khalil al-Basri"), ("3", "Muhammad ibn Abd al-Rahman ibn Khalil ibn Tamim ibn Harith"),
+         ("4", "Ibrahim ibn Qasim al-Kufi"), ("5", long)], "person string, name string",
+    )
+    want = {
+        LINEAGE: "1", "محمد بن عبد الله بن عمر بن علي بن حسن الحنفي": "1", "البصري، محمد بن عبد الله بن علي بن حسن بن خالد بن سذان": "1", "محمد بن عبدالله بن عمر بن علي بن زيد البصري": "2",
+        "Muhd ibn Abd al-Rahman ibn Khalil ibn Tameem": "3", "M. ibn Abd al-Rahman ibn K. ibn Tamim ibn Harith al-Basri": "3", "Muhammad ibn Abdr ibn Khalil al-Basri": "3", "Brahim b. Qasim al-Kufi": "4", long: "5", long[: len(long) // 2].rsplit(" ", 2)[0]: "5",
+    }
+    other = [
+        LINEAGE.replace("خالد", "زيد"), "محمد بن عبد الله بن عمر بن حسن بن علي البصري", "محمد بن عبد الله بن عمر بن علي البصري", "M. ibn A. al-Basri", "M. ibn K.", long + " بن غيره",
+        " بن ".join(reversed(long.split(" بن "))), "اسم " * 3000,
+    ]
+    spelt = spark.createDataFrame([(str(i), n) for i, n in enumerate([*want, *other])], "id string, name string")
+    got = {r["id"]: r["person"] for r in N.same_person(spelt, persons).collect()}
+    assert got == {str(i): p for i, p in enumerate(want.values())}
