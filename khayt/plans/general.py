@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,7 +99,10 @@ SQL_TEXTS = {
     "q_anti": """select p_partkey from part p where not exists (select 1 from lineitem l where l.l_partkey = p.p_partkey)""",
     "q_asof": """select event_id, order_key from (select e.event_id, o.o_orderkey as order_key, row_number() over (partition by e.event_id order by o.o_orderdate desc, o.o_orderkey desc) as i from (select event_id, user_id, ts from events) e left join orders o on o.o_custkey = e.user_id and o.o_orderdate <= e.ts) where i = 1""",
     "q_subquery": """select s_suppkey, s_name from supplier where s_acctbal > (select avg(s_acctbal) from supplier)""",
-    "q_lateral": """select event_type, count(*) as n, count(distinct user_id) as users, round(avg(value), 4) as mean_value, max(event_id) as last_id from events where value is not null group by event_type having count(*) > 1""",
+    "q_lateral": """select n_name, c_custkey, round(c_acctbal, 2) as balance from nation, lateral (select c_custkey, c_acctbal from customer where c_nationkey = n_nationkey order by c_acctbal desc, c_custkey limit 3) t""",
+    "q_natural": """select n_name, r_name from (select n_name, n_regionkey as regionkey from nation) natural join (select r_name, r_regionkey as regionkey from region)""",
+    "q_cross": """select r_name, segment, customers from region cross join (select c_mktsegment as segment, count(*) as customers from customer group by 1)""",
+    "q_having": """select event_type, count(*) as n, count(distinct user_id) as users, round(avg(value), 4) as mean_value, max(event_id) as last_id from events where value is not null group by event_type having count(*) > 1""",
 }
 NEEDS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -115,9 +119,18 @@ def _sql(name: str):
     return run
 
 
-def _stream(spark: SparkSession, sf_dir: str, make, mode: str = "append") -> DataFrame:
+#: Files in which the streaming queries find the events, one read at each trigger.
+EVENT_FILES = 3
+
+
+def _land(spark: SparkSession, rows: DataFrame, folder: str, files: int = EVENT_FILES) -> None:
+    rows.repartition(files, "event_id").write.mode("append").parquet(f"{folder}/in")
+
+
+def _stream(spark: SparkSession, sf_dir: str, make, mode: str = "append", keys: Sequence[str] = ()) -> DataFrame:
     folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    return flows.drain(spark, make(flows.events(spark, sf_dir)), folder, mode)
+    _land(spark, table(spark, sf_dir, "events"), folder)
+    return flows.drain(spark, make(flows.events(spark, f"{folder}/in", "*.parquet")), folder, mode, keys)
 
 
 def t_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,16 +139,37 @@ def t_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "events", F.round("total", 4).alias("total"))
 
 
+def t_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by hour and type, where half of them arrive after the others: rows of windows that the watermark has passed fall out."""
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "events")
+    for part in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 != 0):
+        _land(spark, rows.where(part), folder, 1)
+        got = flows.drain(spark, flows.tumbling(flows.events(spark, f"{folder}/in", "*.parquet")), folder, "update", ["window_start", "event_type"])
+    return got.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "events")
+
+
+def t_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of a user's events without a pause of more than half an hour."""
+    got = _stream(spark, sf_dir, lambda s: flows.sessions(s, late="3650 days"), "complete")
+    return got.select("user_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("session_start", "session_end")], "events")
+
+
+def t_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users, each at the first of their events that arrives."""
+    return _stream(spark, sf_dir, lambda s: flows.first_seen(s, "user_id", "3650 days")).select("user_id")
+
+
 def t_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream(spark, sf_dir, lambda s: flows.sliding(s, late="3650 days"), "complete").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "events")
 
 
 def t_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running totals per user, from kept state."""
-    return _stream(spark, sf_dir, flows.running_totals, "update").select("user_id", "events", F.round("total", 4).alias("total"))
+    return _stream(spark, sf_dir, flows.running_totals, "update", ["user_id"]).select("user_id", "events", F.round("total", 4).alias("total"))
 
 
-QUERIES = {f.__name__: f for f in (k_nulls, k_checks, k_domains, k_drift, k_provenance, s_segments, s_split, w_bands, w_ordinals, w_neighbours, j_interval, t_tumbling, t_sliding, t_totals)} | {n: _sql(n) for n in SQL_TEXTS}
+QUERIES = {f.__name__: f for f in (k_nulls, k_checks, k_domains, k_drift, k_provenance, s_segments, s_split, w_bands, w_ordinals, w_neighbours, j_interval, t_tumbling, t_late, t_sessions, t_first_seen, t_sliding, t_totals)} | {n: _sql(n) for n in SQL_TEXTS}
 _AR = "regexp_matches({}, '[\\x{{0600}}-\\x{{06FF}}]')"
 SQL = {
     **SQL_TEXTS,
@@ -160,6 +194,11 @@ select event_id, nullif(p, event_type) as previous, nullif(f, event_type) as fol
 s as (select b, d, count(*) n from n where d >= b group by all) select x.b as b1, x.d as d1, sum(y.n)::bigint as contemporaries from s x join s y on x.b <= y.d and y.b <= x.d group by all""",
     "t_tumbling": "select date_trunc('hour', ts) as window_start, event_type, count(*) as events, round(sum(value), 4) as total from events group by all",
     "t_sliding": "select w as window_start, count(*) as events from (select unnest([date_trunc('hour', ts), date_trunc('hour', ts) - interval 1 hour]) w from events) group by 1",
+    "t_late": """with e as (select *, event_id % 2 = 0 as early from events), w as (select max(ts) - interval 10 minutes passed from e where early)
+select date_trunc('hour', ts) as window_start, event_type, count(*) as events from e, w where early or date_trunc('hour', ts) + interval 1 hour > passed group by all""",
+    "t_sessions": """with e as (select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) > interval 30 minutes then 1 else 0 end opens from events),
+s as (select *, sum(opens) over (partition by user_id order by ts) n from e) select user_id, min(ts) as session_start, max(ts) + interval 30 minutes as session_end, count(*) as events from s group by user_id, n""",
+    "t_first_seen": "select distinct user_id from events",
     "t_totals": "select user_id, count(*) as events, round(sum(coalesce(value, 0)), 4) as total from events group by 1",
 }
 #: Columns of the checked tables, for the comparison query.

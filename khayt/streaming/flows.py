@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
@@ -58,11 +58,30 @@ def running_totals(stream: DataFrame) -> DataFrame:
     return stream.groupBy("user_id").applyInPandasWithState(update, "user_id bigint, events bigint, total double", "n bigint, total double", "update", GroupStateTimeout.NoTimeout)
 
 
-def drain(spark: SparkSession, stream: DataFrame, folder: str, mode: str = "append", keep: StructType | None = None) -> DataFrame:
-    """Run a stream over what is there now, into Parquet under its own checkpoint, and return what was written. ``complete`` and ``update`` results are kept whole per batch, the last standing."""
+def _keep(df: DataFrame, batch: int, path: str, mode: str) -> None:
+    """Write a batch's rows; a batch that has none leaves no folder, unless an empty result is the whole one."""
+    if mode == "complete" or batch == 0 or not df.isEmpty():
+        df.write.mode("overwrite").parquet(path)
+
+
+def drain(spark: SparkSession, stream: DataFrame, folder: str, mode: str = "append", keys: Sequence[str] = ()) -> DataFrame:
+    """Run a stream over what is there now, into Parquet under its own checkpoint, and return the result as it stands; run again on the same folder, it goes on from where it was.
+
+    append: all rows written. complete: the rows of the last batch, which are the whole result. update: of each key (``keys``) the row of the last batch that has one.
+    """
     if mode == "append":
         q = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     else:
-        q = stream.writeStream.outputMode(mode).foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{folder}/out/batch={i}")).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+        q = stream.writeStream.outputMode(mode).foreachBatch(lambda df, i: _keep(df, i, f"{folder}/out/batch={i}", mode)).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(keep or stream.schema).parquet(f"{folder}/out")
+    if mode == "append":
+        return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+    written = spark.read.schema(StructType([*stream.schema.fields, StructField("batch", LongType())])).parquet(f"{folder}/out")
+    if mode == "complete":
+        last = written.agg(F.max("batch")).first()[0]
+        return written.where(F.col("batch") == last).drop("batch")
+    if not keys:
+        raise ValueError("the keys of an updated result must be named")
+    rest = [c for c in stream.columns if c not in keys]
+    latest = written.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
+    return latest.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in stream.columns])

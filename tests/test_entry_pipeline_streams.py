@@ -6,6 +6,8 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
+
 from khayt import pipeline
 from khayt.operators import quality as K
 from khayt.streaming import flows
@@ -84,5 +86,17 @@ def test_streams(spark, data, tmp_path):
     assert s.where("session_end <= session_start").count() == 0
     one = flows.drain(spark, flows.first_seen(flows.events(spark, data), "event_id"), str(tmp_path / "c"))
     assert one.count() == batch.select("event_id").distinct().count()
+    for n in range(3):  # several files, one at each trigger, and a second run on the same state
+        batch.where(F.col("event_id") % 3 == n).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = lambda: flows.events(spark, str(tmp_path / "in"), "*.parquet")
+    got = flows.drain(spark, flows.tumbling(stream(), late="3650 days"), str(tmp_path / "e"), "complete")
+    assert got.columns == ["window_start", "event_type", "events", "total"] and got.count() == got.select("window_start", "event_type").distinct().count() and got.groupBy().sum("events").first()[0] == batch.count()
+    for extra in (0, 5):
+        if extra:
+            batch.limit(extra).write.mode("append").parquet(str(tmp_path / "in"))
+        got = flows.drain(spark, flows.running_totals(stream()), str(tmp_path / "f"), "update", ["user_id"])
+        assert got.count() == batch.select("user_id").distinct().count() and got.groupBy().sum("events").first()[0] == batch.count() + extra
+    with pytest.raises(ValueError, match="keys"):
+        flows.drain(spark, flows.running_totals(stream()), str(tmp_path / "g"), "update")
     files = flows.drain(spark, flows.landed(spark, data, "*.parquet"), str(tmp_path / "d"))
     assert files.where("size > 0").count() == len(list(pathlib.Path(data).glob("*.parquet")))
