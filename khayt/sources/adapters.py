@@ -12,6 +12,7 @@ from khayt.functions import arabic as A
 from khayt.functions import scalars as S
 from khayt.functions.segment import segment_ar, segment_en, split_udf
 from khayt.operators import sequence as Q
+from khayt.runtime import stored
 from khayt.schemas import conform
 from khayt.sources import readers as R
 
@@ -262,16 +263,14 @@ ADAPTERS = {
 
 
 def parse_all(spark: SparkSession, raw_dir: str, slugs: list[str] | None = None) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """(table -> rows of all sources, source -> what went wrong). A source that fails leaves no rows and stops no other."""
+    """(table -> rows of all sources, source -> what went wrong). A source that fails, in analysis or as it runs, leaves no rows and stops no other; each is parsed once, into stored tables."""
     out: dict[str, DataFrame] = {}
     failed: dict[str, str] = {}
     for a in ADAPTERS.values():
         if not a.active or (slugs and a.slug not in slugs):
             continue
         try:
-            got = a.parse(spark, f"{raw_dir}/{a.slug}")
-            for df in got.values():
-                df.schema  # noqa: B018  analysis errors show here
+            got = {name: stored(df, f"parsed-{a.slug}") for name, df in a.parse(spark, f"{raw_dir}/{a.slug}").items()}
         except Exception as e:  # noqa: BLE001
             failed[a.slug] = str(e)[:200]
             continue

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import http.client
 import json
 import os
 import time
+import urllib.error
 import urllib.request
 from collections.abc import Iterator
 
@@ -37,18 +39,37 @@ def download(url: str, path: str, sha256: str | None = None, tries: int = 3, wai
     return path
 
 
+def _missing(error: OSError) -> bool:
+    """Whether an error says that a page isn't there, and not that it couldn't be had."""
+    return isinstance(error, FileNotFoundError) or getattr(error, "code", None) in (404, 410) or isinstance(getattr(error, "reason", None), FileNotFoundError)
+
+
+def _json(url: str, tries: int, wait: float) -> object:
+    """The JSON at a URL, None where there is none; any other error is tried again with longer and longer waits, then raised."""
+    for n in range(tries):
+        try:
+            with urllib.request.urlopen(url, timeout=60) as r:  # noqa: S310
+                return json.load(r)
+        except (OSError, http.client.HTTPException, json.JSONDecodeError) as e:
+            if isinstance(e, OSError) and _missing(e):
+                return None
+            if n + 1 == tries:
+                raise
+            time.sleep(wait * 2**n)
+    return None
+
+
 class _Pages(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.url, self.last, self.field = options["url"], int(options.get("pages", 1)), options.get("field", "data")
+        self.tries, self.wait = int(options.get("tries", 3)), float(options.get("wait", 1.0))
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(n) for n in range(1, self.last + 1)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        try:
-            with urllib.request.urlopen(self.url.format(page=partition.value), timeout=60) as r:  # noqa: S310
-                got = json.load(r)
-        except (FileNotFoundError, urllib.error.HTTPError, urllib.error.URLError):
+        got = _json(self.url.format(page=partition.value), self.tries, self.wait)
+        if got is None:
             return  # past the last page
         for i, row in enumerate(got.get(self.field, []) if isinstance(got, dict) else got):
             yield partition.value, i, json.dumps(row, ensure_ascii=False)
@@ -68,6 +89,7 @@ class PagedJson(DataSource):
         return _Pages(self.options)
 
 
-def paged_json(spark: SparkSession, url: str, pages: int, field: str = "data") -> DataFrame:
+def paged_json(spark: SparkSession, url: str, pages: int, field: str = "data", tries: int = 3, wait: float = 1.0) -> DataFrame:
+    """(page, place, record) of all pages that are there. A missing page (404) has no rows; a page that cannot be had after ``tries`` fails the read."""
     spark.dataSource.register(PagedJson)
-    return spark.read.format("paged_json").option("url", url).option("pages", str(pages)).option("field", field).load()
+    return spark.read.format("paged_json").option("url", url).option("pages", str(pages)).option("field", field).option("tries", str(tries)).option("wait", str(wait)).load()

@@ -41,8 +41,24 @@ def _decoded(data: bytes) -> str:
     return data.decode("utf-8", "replace")
 
 
-def csv(spark: SparkSession, path: str, pattern: str = "*.csv", header: bool = True, columns: Sequence[str] | None = None, encoding: str = "utf-8") -> DataFrame:
-    """Rows of CSV files as text with ``_path``; malformed rows are dropped, quoted line breaks kept. ``columns`` name the fields by place."""
+def _csv_by_encoding(spark: SparkSession, path: str, pattern: str, header: bool, columns: Sequence[str] | None) -> DataFrame:
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    odd = [r[0] for r in found.where(~F.is_valid_utf8(F.col("content").cast("string"))).select("_metadata.file_path").collect()]  # names of files
+    rows = csv(spark, path, pattern, header, columns, "utf-8")
+    if not odd:
+        return rows
+    out = rows.where(~F.col("_path").isin(*odd))
+    latin = csv(spark, path, pattern, header, columns, "iso-8859-1").where(F.col("_path").isin(*odd))
+    return out.unionByName(latin, allowMissingColumns=True)
+
+
+def csv(spark: SparkSession, path: str, pattern: str = "*.csv", header: bool = True, columns: Sequence[str] | None = None, encoding: str | None = None) -> DataFrame:
+    """Rows of CSV files as text with ``_path``; malformed rows are dropped, quoted line breaks kept. ``columns`` name the fields by place.
+
+    Files are UTF-8, or else Latin-1 where their bytes are no UTF-8, file by file, unless an ``encoding`` is named for all.
+    """
+    if encoding is None:
+        return _csv_by_encoding(spark, path, pattern, header, columns)
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("header", header and not columns).option("multiLine", "true").option("quote", '"').option("escape", '"').option("encoding", encoding)
     if columns:
         reader = reader.schema(", ".join(f"`{c}` string" for c in columns)).option("header", header).option("enforceSchema", "true").option("mode", "DROPMALFORMED")

@@ -46,9 +46,11 @@ def messages(df: DataFrame, key: str) -> DataFrame:
 
 
 def send(df: DataFrame, key: str, servers: str, topic: str) -> bool:
-    """To Kafka where its connector is on the class path; a broker that fails is reported, not raised."""
+    """To Kafka; a broker that fails, or a connector that is not on the class path, is reported, not raised. A wrong key or column raises."""
+    out = messages(df, key)
+    out.schema  # noqa: B018  errors of analysis show here
     try:
-        messages(df, key).write.format("kafka").option("kafka.bootstrap.servers", servers).option("kafka.acks", "all").option("kafka.retries", "3").option("topic", topic).save()
+        out.write.format("kafka").option("kafka.bootstrap.servers", servers).option("kafka.acks", "all").option("kafka.retries", "3").option("topic", topic).save()
         return True
     except Exception:  # noqa: BLE001
         return False

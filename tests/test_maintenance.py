@@ -55,3 +55,26 @@ def test_fetch(spark, tmp_path):
         fetch.download(f"file://{tmp_path}/p1.json", str(tmp_path / "d/y"), sha256="0")
     with pytest.raises(OSError):
         fetch.download("file:///none/x", str(tmp_path / "d/z"), tries=1)
+
+
+def test_pages_that_cannot_be_had_fail_the_read(spark, tmp_path):
+    import http.server
+    import threading
+
+    class Pages(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):  # noqa: N802
+            code = {"1": 200, "2": 404}.get(self.path[1:], 500)
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(b'{"data": [{"a": 1}]}' if code == 200 else b"{}")
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Pages)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/{{page}}"
+    assert [r["page"] for r in fetch.paged_json(spark, url, 2).collect()] == [1]
+    with pytest.raises(Exception, match="500"):
+        fetch.paged_json(spark, url, 3, tries=2, wait=0.01).collect()
+    server.shutdown()

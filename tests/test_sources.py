@@ -1,3 +1,4 @@
+import dataclasses
 import json
 import zipfile
 
@@ -122,3 +123,31 @@ def test_manifests_and_records(spark, tmp_path):
     with_facts = sinks.with_provenance(df, "b", detector="lexical")
     with_facts.write.parquet(str(tmp_path / "p"))
     assert spark.read.parquet(str(tmp_path / "p")).schema["b"].metadata["detector"] == "lexical"
+
+
+def test_csv_falls_back_file_by_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("k,v\n1,قال\n".encode())
+    (tmp_path / "b.csv").write_bytes("k,v\n2,caf\xe9\n".encode("latin-1"))
+    assert {(r["k"], r["v"]) for r in R.csv(spark, str(tmp_path)).collect()} == {("1", "قال"), ("2", "café")}
+    assert {(r["a"], r["b"]) for r in R.csv(spark, str(tmp_path), columns=["a", "b"]).collect()} == {("1", "قال"), ("2", "café")}
+
+
+def test_a_source_that_fails_as_it_runs_stops_no_other(spark, tmp_path, monkeypatch):
+
+
+    def broken(spark, path):
+        return {"hadiths": spark.range(3).select(F.raise_error(F.lit("corrupt")).cast("string").alias("source_id"))}
+
+    def fine(spark, path):
+        return {"hadiths": spark.range(2).select(F.col("id").cast("string").alias("source_id"))}
+
+    made = {k: dataclasses.replace(next(iter(A.ADAPTERS.values())), slug=k, parse=f, active=True) for k, f in (("one", broken), ("two", fine))}
+    monkeypatch.setattr(A, "ADAPTERS", made)
+    got, failed = A.parse_all(spark, str(tmp_path))
+    assert list(failed) == ["one"] and got["hadiths"].count() == 2 and {r["_source"] for r in got["hadiths"].collect()} == {"two"}
+
+
+def test_wrong_column_raises_and_no_broker_does_not(spark):
+    df = spark.createDataFrame([("x",)], "a string")
+    with pytest.raises(Exception, match="nope"):
+        sinks.send(df, "nope", "localhost:1", sinks.TOPICS[0])
