@@ -91,9 +91,9 @@ def canonical_surface(c: Column) -> Column:
 
 
 # Latin letters for Arabic ones.
-LATIN_LETTERS = dict(
-    zip("ابتثجحخدذرزسشصضطظعغفقكلمنهةويىء", ["a", "b", "t", "th", "j", "h", "kh", "d", "dh", "r", "z", "s", "sh", "s", "d", "t", "z", "", "gh", "f", "q", "k", "l", "m", "n", "h", "a", "w", "y", "a", ""], strict=True)
-)
+LATIN_LETTERS = {
+    "ا": "a", "ب": "b", "ت": "t", "ث": "th", "ج": "j", "ح": "h", "خ": "kh", "د": "d", "ذ": "dh", "ر": "r", "ز": "z", "س": "s", "ش": "sh", "ص": "s", "ض": "d", "ط": "t", "ظ": "z", "ع": "", "غ": "gh", "ف": "f", "ق": "q", "ك": "k", "ل": "l", "م": "m", "ن": "n", "ه": "h", "ة": "a", "و": "w", "ي": "y", "ى": "a", "ء": "",
+}
 # Common parts of names and their Latin forms.
 LATIN_NAMES = {
     "أبو": "Abu", "أبا": "Aba", "أبي": "Abi", "ابن": "ibn", "بن": "ibn", "بنت": "bint", "أم": "Umm", "عبد": "Abd", "الله": "Allah", "عبدالله": "Abd Allah", "عبدالرحمن": "Abd al-Rahman", "الرحمن": "al-Rahman",
