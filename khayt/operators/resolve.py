@@ -49,7 +49,8 @@ def near_names(left: DataFrame, right: DataFrame, most: int = 2, prefix: int = 2
     """(a, b, distance): pairs of distinct names (columns ``a`` and ``b``) that begin alike and lie within ``most`` edits.
 
     Exact without comparing all names of a beginning: a name cut into most + 1 parts keeps one of them whole under so few edits, within as many places of where it was, so names
-    are joined on such a part. A frequent beginning is no hot block.
+    are joined on such a part. A frequent beginning is no hot block. Names too short to be cut (at most ``most`` letters) are joined on their beginning with those of up to ``most``
+    letters more; of so few letters there is only a bounded number.
     """
     b = right.select("b").dropna().distinct().where(F.length("b") > most).select("b", F.length("b").alias("n"), F.inline(_segments(F.col("b"), most + 1)))
     lens = F.sequence(F.greatest(F.length("a") - most, F.lit(most + 1)), F.length("a") + most)
@@ -59,6 +60,9 @@ def near_names(left: DataFrame, right: DataFrame, most: int = 2, prefix: int = 2
     a = a.select("a", "n", "i", start.cast("int").alias("start"), (stop - start).cast("int").alias("size"), F.explode(F.sequence(F.lit(-most), F.lit(most))).alias("shift")).where("start + shift >= 0")
     a = a.select("a", "n", "i", F.expr("substring(a, start + shift + 1, size)").alias("text")).where(F.length("text") > 0).distinct()
     met = a.join(b.select("b", "n", "i", "text"), ["n", "i", "text"]).select("a", "b").distinct()
+    begin = lambda c: F.substring(c, 1, min(prefix, 1)).alias("_p")
+    short = right.select("b").dropna().distinct().where(F.length("b").between(1, most)).select("b", begin("b"))
+    met = met.unionByName(left.select("a").dropna().distinct().where(F.length("a").between(1, 2 * most)).select("a", begin("a")).join(short, "_p").select("a", "b"))
     if prefix:
         met = met.where(F.substring("a", 1, prefix) == F.substring("b", 1, prefix))
     return met.withColumn("distance", F.levenshtein("a", "b", most)).where("distance >= 0")
@@ -338,9 +342,11 @@ def reconcile_dates(seen: DataFrame) -> DataFrame:
     hi = F.greatest("b_hi", F.when(F.col("competing"), F.col("near_hi")).otherwise(F.col("any_hi")))
     wide = wide.select("person", "p_min", "p_max", lo.alias("lo0"), hi.alias("hi0"), "circa")
     opened = o.where("kind <> 'closed'").groupBy("person").agg(F.max("lo").alias("a_max"), F.min("hi").alias("b_min"))
-    clip = o.where("kind <> 'closed'").select("person", F.col("lo").alias("a"), F.col("hi").alias("b")).join(wide.select("person", "lo0", "hi0"), "person").groupBy("person").agg(
-        F.max(F.when(F.col("a").between(F.col("lo0"), F.col("hi0")), F.col("a"))).alias("a_in"), F.min(F.when(F.col("b").between(F.col("lo0"), F.col("hi0")), F.col("b"))).alias("b_in"))
-    closed = wide.join(clip, "person", "left").select("person", "p_min", "p_max", F.greatest("lo0", F.coalesce("a_in", "lo0")).alias("lo"), F.least("hi0", F.coalesce("b_in", "hi0")).alias("hi"), "circa")
+    # Lower bounds clip the band first; an upper bound counts only within what they leave, so that no band ends before it begins.
+    clip = o.where("kind <> 'closed'").select("person", F.col("lo").alias("a"), F.col("hi").alias("b")).join(wide.select("person", "lo0", "hi0"), "person")
+    low = F.max(F.when(F.col("a").between(F.col("lo0"), F.col("hi0")), F.col("a"))).over(Window.partitionBy("person"))
+    clip = clip.withColumn("lo", F.coalesce(low, "lo0")).groupBy("person").agg(F.max("lo").alias("lo"), F.min(F.when(F.col("b").between(F.col("lo"), F.col("hi0")), F.col("b"))).alias("b_in"))
+    closed = wide.join(clip, "person", "left").select("person", "p_min", "p_max", F.coalesce("lo", "lo0").alias("lo"), F.coalesce("b_in", "hi0").alias("hi"), "circa")
     votes = band.select("person", "p").join(closed.select("person", "lo", "hi"), "person").where(F.col("p").between(F.col("lo"), F.col("hi"))).groupBy("person", "p").agg(F.count(F.lit(1)).alias("v"))
     mode = votes.groupBy("person").agg(F.min(F.struct((-F.col("v")).alias("v"), "p")).alias("x")).select("person", F.col("x.p").alias("mode"))
     total = o.groupBy("person").agg(F.count(F.lit(1)).alias("sources"))

@@ -200,7 +200,30 @@ est as (select mention, person, greatest(11, least(450, round_even(list_avg(v),
 """
 _WIN = " + ".join(f"(midpoint between {a} and {b})::int" for a, b in S.GENERATIONS.values())
 QUERIES = {f.__name__: f for f in (r_exact, r_near_names, r_matches, r_first_wins, r_generic, r_candidate_pairs, r_clusters, r_merged, r_neighbours, r_estimates, r_split, r_dates, r_generation_dates, r_overlap, r_unify, r_quality, x_classes, x_parallels, x_search, x_inverted, x_compose)}
+_DATES = f"""with o as (select canonical_id person, lower(trim(death_date_precision)) pr, death_year_ah p0, death_year_ah_earliest e0, death_year_ah_latest l0 from narrators_canonical
+ where canonical_id is not null and coalesce(death_year_ah between 1 and 1500, true) and coalesce(death_year_ah, death_year_ah_earliest, death_year_ah_latest) is not null),
+k as (select *, case when pr = 'after' and coalesce(e0, p0) is not null then 'after' when pr = 'before' and coalesce(l0, p0) is not null then 'before' else 'closed' end kind from o),
+s as (select person, kind, pr, case when kind = 'closed' then coalesce(p0, e0, l0) end p, case when kind <> 'before' then coalesce(e0, p0) end lo, case when kind <> 'after' then coalesce(l0, p0) end hi from k),
+mid as (select person, quantile_cont(p, 0.5) med, count(p) n, min(p) p_min, max(p) p_max from s where p is not null group by 1),
+near as (select person, n, p_min, p_max, min(p) filter (abs(p - med) <= {R.OUTLIER_GAP}) c_lo, max(p) filter (abs(p - med) <= {R.OUTLIER_GAP}) c_hi, count(*) filter (abs(p - med) <= {R.OUTLIER_GAP}) c from s join mid using (person) where p is not null group by all),
+core as (select person, p_min, p_max, case when n > 2 and c >= 2 then c_lo else p_min end b_lo, case when n > 2 and c >= 2 then c_hi else p_max end b_hi from near),
+band as (select s.*, b_lo, b_hi, p_min, p_max from s join core using (person) where kind = 'closed' and p between b_lo - {R.AGREEMENT} and b_hi + {R.AGREEMENT}),
+env as (select person, p_min, p_max, bool_and(pr = 'circa') circa,
+ least(b_lo, case when count(distinct p) > 1 then min(lo) filter (b_lo - lo <= {R.NOISE_GAP}) else min(lo) end) lo0, greatest(b_hi, case when count(distinct p) > 1 then max(hi) filter (hi - b_hi <= {R.NOISE_GAP}) else max(hi) end) hi0
+ from band group by person, p_min, p_max, b_lo, b_hi),
+after as (select env.*, coalesce((select max(s.lo) from s where s.person = env.person and kind = 'after' and s.lo between lo0 and hi0), lo0) lo from env),
+done as (select after.*, coalesce((select min(s.hi) from s where s.person = after.person and kind = 'before' and s.hi between after.lo and hi0), hi0) hi from after),
+votes as (select person, p, count(*) v from band join done using (person) where p between done.lo and done.hi group by all),
+mode as (select person, arg_min(p, (-v, p)) point from votes group by 1),
+t as (select person, count(*) as sources, max(lo) filter (kind <> 'closed') a, min(hi) filter (kind <> 'closed') b from s group by 1)
+select person, case when lo is not null then coalesce(point, ((lo + hi) // 2)::int) else coalesce(a, b) end as point, case when lo is not null then lo else a end as earliest,
+ case when lo is not null then hi when a > b then null else b end as latest,
+ case when lo is not null then case when circa then 'circa' when lo = hi then 'exact' else 'range' end when a = b then 'exact' when a < b then 'range' when a is not null then 'after' when b is not null then 'before' else 'unknown' end as precision,
+ sources, case when lo is not null then p_max - p_min > {R.AGREEMENT} else coalesce(a > b, false) end as conflict
+from t left join done using (person) left join mode using (person)"""
+
 SQL = {
+    "r_dates": _DATES,
     "r_exact": _REC + """k as (select 0 lang, name, id from r where name <> '' union all select 1, lower(name_en), id from r where name_en <> ''),
 mm as (select mention, 0 lang, name_ar name from o where name_ar <> '' union all select mention, 1, lower(name_en) from o where name_en <> '')
 select mention, candidate, 'exact' as stage from (select mention, k.id candidate, row_number() over (partition by mention order by mm.lang, k.id) i from mm join k on mm.lang = k.lang and mm.name = k.name) where i = 1""",

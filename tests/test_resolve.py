@@ -27,7 +27,7 @@ def edits(a, b):
 
 def test_near_names_loses_none(spark):
     rnd = random.Random(4)
-    names = list({"".join(rnd.choice("abc") for _ in range(rnd.randrange(3, 9))) for _ in range(60)}) + ["ab" * 40, "ab" * 40 + "c"]
+    names = list({"".join(rnd.choice("abc") for _ in range(rnd.randrange(3, 9))) for _ in range(60)}) + ["ab" * 40, "ab" * 40 + "c", "ab", "ac", "a", "b", "abca"]
     df = spark.createDataFrame([(n,) for n in names], "a string")
     got = R.near_names(df, df.withColumnRenamed("a", "b"), 2, 2)
     assert rows(got) == sorted(((a, b, edits(a, b)) for a in names for b in names if a[:2] == b[:2] and edits(a, b) <= 2), key=str)
@@ -149,7 +149,7 @@ def reconcile(obs):
             hi = c[2]
     lo0, hi0 = lo, hi
     lo = max([lo0, *(a for a in after if lo0 <= a <= hi0)])
-    hi = min([hi0, *(b for b in before if lo0 <= b <= hi0)])
+    hi = min([hi0, *(b for b in before if lo <= b <= hi0)])
     votes = Counter(c[0] for c in band if lo <= c[0] <= hi)
     point = max(votes.items(), key=lambda kv: (kv[1], -kv[0]))[0] if votes else (lo + hi) // 2
     circa = {c[3] for c in band} == {"circa"}
@@ -165,10 +165,12 @@ def test_dates_against_the_rules(spark):
             kind = rnd.choice(["exact", "exact", "circa", "range", "after", "before"])
             obs.append((str(person), *{"exact": (y, y, y), "circa": (y, y, y), "range": (y, y - rnd.randrange(15), y + rnd.randrange(15)), "after": (y, y, None), "before": (y, None, y)}[kind], kind))
     obs += [("none", None, None, None, None), (None, 5, 5, 5, "exact")]
+    obs += [("clipped", 150, 100, 200, "range"), ("clipped", None, 150, None, "after"), ("clipped", None, None, 120, "before")]
     got = {r[0]: tuple(r[1:]) for r in R.reconcile_dates(spark.createDataFrame(obs, "person string, point int, earliest int, latest int, precision string")).collect()}
     for person in {o[0] for o in obs}:
         want = reconcile([o[1:] for o in obs if o[0] == person]) if person else None
         assert got.get(person) == want, (person, [o[1:] for o in obs if o[0] == person])
+    assert got["clipped"][:3] == (150, 150, 200)
 
 
 def test_contexts_and_gates(spark):
