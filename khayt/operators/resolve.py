@@ -20,9 +20,6 @@ DEATH_TOLERANCE, GROSS_SPREAD = 2, 50
 GENERIC_MENTIONS, THIN_TOKENS = 50, 2
 SPLIT_GAP, SPLIT_SUPPORT, SPLIT_MOST, MID_GAP = 80, 10, 6, 47
 OUTLIER_GAP, AGREEMENT, NOISE_GAP = 25, 2, 10
-# Zones of the regions that places are known by, from west to east, and places of passage.
-ZONES = {"andalus": 0, "maghrib": 1, "misr": 2, "sham": 3, "hijaz": 3, "yaman": 4, "iraq": 4, "basra": 4, "kufa": 4, "baghdad": 4, "fars": 5, "khurasan": 6, "transoxiana": 7, "sind": 7}
-HUBS = ("hijaz", "baghdad")
 
 
 # ---- matching
@@ -92,12 +89,6 @@ def temporal_ok(year: Column, adjacent: Column, least: int = 15, most: int = 80)
     return year.isNull() | (F.size(F.coalesce(adjacent, F.array().cast("array<int>"))) == 0) | F.exists(adjacent, lambda x: F.abs(year - x).between(least, most))
 
 
-def travel_ok(a: Column, b: Column, most: int = 4) -> Column:
-    """Whether a journey between two regions is plausible; an unknown region or a hub is no hindrance."""
-    zones = F.create_map(*[F.lit(x) for k, v in ZONES.items() for x in (k, v)])
-    return F.coalesce(a.isin(*HUBS) | b.isin(*HUBS) | (F.abs(zones[a] - zones[b]) <= most), F.lit(True))
-
-
 def adjacent_years(rows: DataFrame, group: Sequence[str], position: str, year: str) -> DataFrame:
     """All columns with ``adjacent``: the years found at the positions just before and after in the same chain."""
     w = Window.partitionBy(*group).orderBy(position).rangeBetween(-1, 1)

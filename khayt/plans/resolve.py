@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from khayt.functions import arabic as A
 from khayt.functions import scalars as S
 from khayt.operators import parallels as P
+from khayt.operators import resolution as N
 from khayt.operators import resolve as R
 from khayt.operators import sequence as Q
 from khayt.plans.graph import _BASE, Tables, _latest
@@ -17,8 +18,12 @@ BIO = ("name_ar", "name_en", "aliases", "death_year_ah", "death_year_provenance"
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(table(spark, sf_dir, "narrators_canonical"))
+
+
+def _records(canonical: DataFrame) -> DataFrame:
     """The latest row of each narrator: id, name, keys (name, then other Arabic names, normalised), years, gender."""
-    r = Q.latest(table(spark, sf_dir, "narrators_canonical").where("canonical_id is not null"), ["canonical_id"], ["loaded_at"], BIO)
+    r = Q.latest(canonical.where("canonical_id is not null"), ["canonical_id"], ["loaded_at"], BIO)
     empty = F.array().cast("array<string>")
     names = F.filter(F.concat(F.array("name_ar"), F.coalesce("aliases", empty)), lambda n: n.isNotNull() & A.is_arabic(n))
     keys = F.array_distinct(F.filter(F.transform(names, A.normalize_arabic), lambda n: n != ""))
@@ -52,6 +57,64 @@ def r_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.accepted(every, F.lit(True)).select("mention", "candidate", F.round("score", 6).alias("score"), "stage")
 
 
+def mention_rows(mentions: DataFrame) -> DataFrame:
+    """One row a mention, its latest, as resolution takes them; stage is ``given`` where the person was there already."""
+    m = Q.latest(mentions.where("mention_id is not null"), ["mention_id"], ["loaded_at"], ["hadith_id", "chain_index", "position_in_chain", "name_raw", "canonical_narrator_id"])
+    arabic, raw = A.is_arabic(F.col("name_raw")), F.col("name_raw")
+    return m.select(
+        F.col("mention_id").alias("mention"), "hadith_id", F.coalesce("chain_index", F.lit(0)).alias("chain_index"), F.col("position_in_chain").alias("position"), F.when(arabic, A.normalize_arabic(raw)).alias("name_ar"),
+        F.when(~arabic, A.clean_whitespace(raw)).alias("name_en"), S.with_prefix(F.col("canonical_narrator_id"), "nar:").alias("person"), F.when(F.col("canonical_narrator_id").isNotNull(), "given").alias("stage"),
+    )
+
+
+def person_records(canonical: DataFrame) -> DataFrame:
+    return _records(canonical).withColumn("id", S.with_prefix(F.col("id"), "nar:"))
+
+
+def death_observations(canonical: DataFrame) -> DataFrame:
+    seen = canonical.where(F.col("death_year_ah").between(1, 1500) | F.col("death_year_ah").isNull())
+    return seen.select(S.with_prefix(F.col("canonical_id"), "nar:").alias("person"), F.col("death_year_ah").alias("point"), F.col("death_year_ah_earliest").alias("earliest"), F.col("death_year_ah_latest").alias("latest"), F.lower(F.trim("death_date_precision")).alias("precision"))
+
+
+def accepted_pairs(matches: DataFrame) -> DataFrame:
+    m = matches.where("lower(trim(decision)) = 'accepted'")
+    return m.select(S.with_prefix(F.col("left_id"), "nar:").alias("a"), S.with_prefix(F.col("right_id"), "nar:").alias("b"))
+
+
+def _resolved(spark: SparkSession, sf_dir: str, stop_after: str | None = None) -> dict[str, DataFrame]:
+    from khayt.pipeline import resolve_stages, run_stages
+
+    tables = {n: table(spark, sf_dir, n) for n in ("mentions_resolved", "narrators_canonical", "narrator_matches")}
+    got = run_stages(resolve_stages(), tables, stop_after=stop_after)
+    if got.failed:
+        raise RuntimeError(str(got.failed))
+    return tables
+
+
+def r_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open mentions with a record of exactly their name, and whether the years of their neighbours in the chain speak against it."""
+    m, r = stored(mention_rows(table(spark, sf_dir, "mentions_resolved")), "mentions"), stored(person_records(table(spark, sf_dir, "narrators_canonical")), "records")
+    near = N.with_context(m, r).where("person is null").withColumn("name", F.coalesce("name_ar", "name_en"))
+    names = near.select(F.col("name").alias("mention"), "name_ar", "name_en").dropna(subset=["mention"]).distinct()
+    exact = R.exact_matches(names, r.select(F.col("id").alias("candidate"), F.col("name").alias("name_ar"), "name_en", F.col("id").alias("seq"))).select(F.col("mention").alias("name"), "candidate")
+    met = near.join(exact, "name").join(r.select(F.col("id").alias("candidate"), "death_year"), "candidate")
+    return met.select("mention", "candidate", R.temporal_ok(F.col("death_year"), F.col("adjacent")).alias("fits"))
+
+
+def r_resolved_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every mention under the person it stands for after all steps, and what resolved it."""
+    return _resolved(spark, sf_dir)["mentions"].select("mention", "person", "stage")
+
+
+def r_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The persons on record after all steps."""
+    return _resolved(spark, sf_dir)["records"].select("id", "name", "death_year", "gender", "generation", "mention_count")
+
+
+def r_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _resolved(spark, sf_dir)["measures"]
+
+
 def r_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "narrators_canonical")
     got = R.first_wins(c, "canonical_id", ["loaded_at", "name_ar", "name_en", "gender", "death_year_ah"], ["name_ar", "name_en", "gender", "death_year_ah"], ["source_ids"])
@@ -199,7 +262,7 @@ es as (select mention, ch.person, list_filter([a.y + 47, b.y - 47], lambda v: v
 est as (select mention, person, greatest(11, least(450, round_even(list_avg(v), 0)::int)) as estimate from es where len(v) > 0)
 """
 _WIN = " + ".join(f"(midpoint between {a} and {b})::int" for a, b in S.GENERATIONS.values())
-QUERIES = {f.__name__: f for f in (r_exact, r_near_names, r_matches, r_first_wins, r_generic, r_candidate_pairs, r_clusters, r_merged, r_neighbours, r_estimates, r_split, r_dates, r_generation_dates, r_overlap, r_unify, r_quality, x_classes, x_parallels, x_search, x_inverted, x_compose)}
+QUERIES = {f.__name__: f for f in (r_exact, r_near_names, r_matches, r_gated, r_resolved_mentions, r_canonical, r_measures, r_first_wins, r_generic, r_candidate_pairs, r_clusters, r_merged, r_neighbours, r_estimates, r_split, r_dates, r_generation_dates, r_overlap, r_unify, r_quality, x_classes, x_parallels, x_search, x_inverted, x_compose)}
 _DATES = f"""with o as (select canonical_id person, lower(trim(death_date_precision)) pr, death_year_ah p0, death_year_ah_earliest e0, death_year_ah_latest l0 from narrators_canonical
  where canonical_id is not null and coalesce(death_year_ah between 1 and 1500, true) and coalesce(death_year_ah, death_year_ah_earliest, death_year_ah_latest) is not null),
 k as (select *, case when pr = 'after' and coalesce(e0, p0) is not null then 'after' when pr = 'before' and coalesce(l0, p0) is not null then 'before' else 'closed' end kind from o),
@@ -222,8 +285,21 @@ select person, case when lo is not null then coalesce(point, ((lo + hi) // 2)::i
  sources, case when lo is not null then p_max - p_min > {R.AGREEMENT} else coalesce(a > b, false) end as conflict
 from t left join done using (person) left join mode using (person)"""
 
+_GATED = _REC + f"""lm as {_latest('mentions_resolved', 'mention_id', ('hadith_id', 'chain_index', 'position_in_chain', 'name_raw', 'canonical_narrator_id'))},
+am as (select mention_id mention, hadith_id, coalesce(chain_index, 0) ci, position_in_chain pos, case when regexp_matches(name_raw, '[\\x{{0600}}-\\x{{06FF}}]') then {_N('name_raw')} end name_ar,
+ case when not regexp_matches(name_raw, '[\\x{{0600}}-\\x{{06FF}}]') then trim(regexp_replace(name_raw, '[\\s\\x{{0B}}\\x{{85}}\\p{{Z}}]+', ' ', 'g')) end name_en,
+ case when canonical_narrator_id like 'nar:%' then canonical_narrator_id else 'nar:' || canonical_narrator_id end person from lm),
+rr as (select case when id like 'nar:%' then id else 'nar:' || id end id, name, name_en, death_year from r),
+k as (select 0 lang, name, id from rr where name <> '' union all select 1, lower(name_en), id from rr where name_en <> ''),
+nm as (select distinct name_ar, name_en from am where person is null and coalesce(name_ar, name_en) is not null),
+x as (select name_ar, null name_en, min(k.id) candidate from nm join k on lang = 0 and k.name = name_ar where name_ar is not null group by 1 union all select null, name_en, min(k.id) from nm join k on lang = 1 and k.name = lower(name_en) where name_ar is null group by 2),
+near as (select a.mention, b.y from am a join (select am.*, death_year y from am join rr on person = rr.id where death_year is not null) b on a.hadith_id = b.hadith_id and a.ci = b.ci and abs(a.pos - b.pos) = 1 where a.person is null)
+select a.mention, candidate, d.death_year is null or not exists (select 1 from near n where n.mention = a.mention) or exists (select 1 from near n where n.mention = a.mention and abs(n.y - d.death_year) between 15 and 80) as fits
+from am a join x on coalesce(a.name_ar, a.name_en) = coalesce(x.name_ar, x.name_en) join rr d on d.id = candidate where a.person is null"""
+
 SQL = {
     "r_dates": _DATES,
+    "r_gated": _GATED,
     "r_exact": _REC + """k as (select 0 lang, name, id from r where name <> '' union all select 1, lower(name_en), id from r where name_en <> ''),
 mm as (select mention, 0 lang, name_ar name from o where name_ar <> '' union all select mention, 1, lower(name_en) from o where name_en <> '')
 select mention, candidate, 'exact' as stage from (select mention, k.id candidate, row_number() over (partition by mention order by mm.lang, k.id) i from mm join k on mm.lang = k.lang and mm.name = k.name) where i = 1""",
