@@ -210,16 +210,24 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
-    """(id, community) by label propagation: in each round a node takes the label most of its neighbours have, the smallest among equals. Stands for a modularity method, which has no distributed form here."""
+    """(id, community) by label propagation: in each round a node takes the label most of its neighbours have, the smallest among equals, until no label changes or for ``rounds`` rounds.
+
+    Labels may go to and fro for ever (two nodes that take each other's), so the number of rounds is part of the definition, not a cut. Stands for a modularity method, which has no
+    distributed form here.
+    """
     both = edges.where("from_id <> to_id").select(F.col("from_id").alias("a"), F.col("to_id").alias("b"))
-    both, _ = store(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "both")
+    both, links_at = store(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "both")
     label, at = store(both.select(F.col("a").alias("id"), F.col("a").alias("community")).distinct(), "labels")
     for _ in range(rounds):
         votes = both.join(label, both.b == label.id).groupBy("a", "community").agg(F.sum("n").alias("n"))
         best = votes.groupBy(F.col("a").alias("id")).agg(F.min(F.struct((-F.col("n")).alias("n"), "community")).alias("best"))
-        label, to = store(best.select("id", F.col("best.community").alias("community")), "labels")
+        following, to = store(best.select("id", F.col("best.community").alias("community")), "labels")
+        changed = not following.join(label, ["id", "community"], "left_anti").isEmpty()
         release(edges.sparkSession, at)
-        at = to
+        label, at = following, to
+        if not changed:
+            break
+    release(edges.sparkSession, links_at)
     return label
 
 

@@ -122,8 +122,14 @@ def assign_centroids(vectors: DataFrame, key: str, vector: str, lists: int = 100
     return src.mapInArrow(work, "key bigint, vector array<float>, list int"), centre
 
 
-def inverted_search(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int = 50, least: float = 0.7, lists: int = 100, probes: int = 10, sample: int = 20_000) -> DataFrame:
-    """As ``cosine_search``, each query looked up only in the lists of its ``probes`` nearest centroids. Not exact; recall is measured against the exact search in the tests."""
+def inverted_search(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int = 50, least: float = 0.7, lists: int | None = None, probes: int | None = None, sample: int = 20_000) -> DataFrame:
+    """As ``cosine_search``, each query looked up only in the lists of its ``probes`` nearest centroids. Not exact; recall is measured against the exact search in the tests and by a query.
+
+    There are as many lists as the square root of the vectors unless ``lists`` says otherwise, so that a list grows as slowly as their number; a third of the lists are looked up
+    unless ``probes`` says otherwise.
+    """
+    lists = lists or max(1, math.ceil(math.sqrt(vectors.count())))
+    probes = probes or max(1, math.ceil(lists / 3))
     indexed, centre = assign_centroids(vectors, key, vector, lists, sample)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -234,7 +234,14 @@ def x_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def x_inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "embeddings")
-    return P.inverted_search(v, v.where("vec_id % 50 = 0"), "vec_id", "embedding", k=10, least=0.3, lists=32, probes=16).select("query", "key", F.round("score", 5).alias("score"))
+    return P.inverted_search(v, v.where("vec_id % 50 = 0"), "vec_id", "embedding", k=10, least=0.3, lists=32, probes=24).select("query", "key", F.round("score", 5).alias("score"))
+
+
+def x_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the pairs that the exact search finds the inverted file finds too, and whether that is at least nine in ten."""
+    exact, found = x_search(spark, sf_dir).select("query", "key"), x_inverted(spark, sf_dir).select("query", "key", F.lit(True).alias("hit"))
+    got = exact.join(found, ["query", "key"], "left").agg(F.count(F.lit(1)).alias("exact"), F.count("hit").alias("found"))
+    return got.select("exact", "found", F.round(F.coalesce(F.try_divide("found", "exact"), F.lit(1.0)), 4).alias("recall"), (F.col("found") >= F.col("exact") * 0.9).alias("enough"))
 
 
 def x_compose(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +269,7 @@ es as (select mention, ch.person, list_filter([a.y + 47, b.y - 47], lambda v: v
 est as (select mention, person, greatest(11, least(450, round_even(list_avg(v), 0)::int)) as estimate from es where len(v) > 0)
 """
 _WIN = " + ".join(f"(midpoint between {a} and {b})::int" for a, b in S.GENERATIONS.values())
-QUERIES = {f.__name__: f for f in (r_exact, r_near_names, r_matches, r_gated, r_resolved_mentions, r_canonical, r_measures, r_first_wins, r_generic, r_candidate_pairs, r_clusters, r_merged, r_neighbours, r_estimates, r_split, r_dates, r_generation_dates, r_overlap, r_unify, r_quality, x_classes, x_parallels, x_search, x_inverted, x_compose)}
+QUERIES = {f.__name__: f for f in (r_exact, r_near_names, r_matches, r_gated, r_resolved_mentions, r_canonical, r_measures, r_first_wins, r_generic, r_candidate_pairs, r_clusters, r_merged, r_neighbours, r_estimates, r_split, r_dates, r_generation_dates, r_overlap, r_unify, r_quality, x_classes, x_parallels, x_search, x_inverted, x_recall, x_compose)}
 _DATES = f"""with o as (select canonical_id person, lower(trim(death_date_precision)) pr, death_year_ah p0, death_year_ah_earliest e0, death_year_ah_latest l0 from narrators_canonical
  where canonical_id is not null and coalesce(death_year_ah between 1 and 1500, true) and coalesce(death_year_ah, death_year_ah_earliest, death_year_ah_latest) is not null),
 k as (select *, case when pr = 'after' and coalesce(e0, p0) is not null then 'after' when pr = 'before' and coalesce(l0, p0) is not null then 'before' else 'closed' end kind from o),

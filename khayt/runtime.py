@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -63,8 +64,10 @@ def store(df: DataFrame, what: str = "stage") -> tuple[DataFrame, str]:
     """Write a DataFrame to the shared folder and read it back: lineage ends there, and a lost executor loses nothing."""
     spark = df.sparkSession
     where = f"{shared_dir(spark)}/khayt-{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(where)
+    if not _made:  # registered once Spark runs, so that it is called before Spark ends
+        atexit.register(_clean)
     _made.append((spark, where))
+    df.write.option("compression", "zstd").parquet(where)
     return spark.read.schema(df.schema).parquet(where), where
 
 
@@ -78,13 +81,14 @@ def release(spark: SparkSession, where: str) -> None:
     fs.delete(path, True)
 
 
-@atexit.register
 def _clean() -> None:
+    """Delete what was stored and not released, on whatever file system it is; local folders also if Spark has ended."""
     for spark, where in _made:
-        if where.startswith(("file:", "/")):
-            import shutil
-
-            shutil.rmtree(where.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+        try:
+            release(spark, where)
+        except Exception:  # noqa: BLE001  Spark is gone
+            if where.startswith(("file:", "/")):
+                shutil.rmtree(where.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
 
 
 def small(df: DataFrame, what: str = "side", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
