@@ -110,6 +110,26 @@ def test_betweenness_of_a_long_path(spark, net):
     assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 for i in got)
 
 
+def test_betweenness_follows_a_link_once_for_like_sources(monkeypatch):
+    import numpy as np
+
+    # 640 sources that all link to one of two hubs, each with 300 nodes behind it that meet in a last one.
+    begin, end = [], []
+    for h in (0, 1):
+        begin += [*range(2 + h, 642, 2), *[h] * 300, *range(642 + 300 * h, 942 + 300 * h)]
+        end += [*[h] * 320, *range(642 + 300 * h, 942 + 300 * h), *[1242] * 300]
+    begin, end = np.array(begin, np.int32), np.array(end, np.int32)
+    by = np.argsort(end, kind="stable")
+    begin, end = begin[by], end[by]
+    followed, sums = [], G._run_sums
+    monkeypatch.setattr(G, "_run_sums", lambda values, index, *rest: followed.append(len(index)) or sums(values, index, *rest))
+    sources = G._alike(1243, begin, end, np.arange(2, 642))
+    assert sorted(sources) == list(range(2, 642))
+    got = G._dependencies(1243, begin, end, sources)
+    assert np.allclose(got[:2], 320 * 301) and np.allclose(got[642:1242], 320 / 300) and not got[2:642].any()
+    assert sum(followed) < 640 * 600 * 2 / 30
+
+
 def test_betweenness_query_searches_from_every_source(spark, data):
     from khayt.plans.graph import Tables, g_betweenness
 
