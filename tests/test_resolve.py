@@ -237,3 +237,45 @@ def test_token_order(spark):
     d = spark.createDataFrame([("علي بن محمد بن حسن", "علي محمد حسن"), ("علي بن محمد", "محمد بن علي"), ("علي", "محمد علي")], "a string, b string")
     assert [r[0] for r in d.select(R.order_kept(F.col("a"), F.col("b"))).collect()] == [True, False, True]
     assert token_set_ratio("علي بن محمد", "محمد بن علي") == 100
+
+
+def test_ratios_of_lists_are_the_ratio_of_each_pair():
+    import random
+
+    import numpy as np
+
+    from khayt.functions.similarity import ratio, ratios
+
+    rng = random.Random(3)
+    text = lambda most: "".join(rng.choice("ابتجحدر س😀") for _ in range(rng.randint(0, most)))
+    a, b = ["", "ا", "x" * 64, "xy" * 40, *[text(70) for _ in range(30)]], ["", "ا", "x" * 65, *[text(90) for _ in range(40)]]
+    assert np.array_equal(ratios(a, b), [[ratio(x, y) for y in b] for x in a])
+    assert ratios([], b).shape == (0, len(b)) and ratios(a, []).shape == (len(a), 0)
+
+
+def test_crossref_matches_by_packs_find_the_best_of_all(spark, monkeypatch):
+    import random
+
+    from khayt.functions.similarity import ratio
+
+    rng = random.Random(4)
+    names = lambda n: ["بن" + "".join(rng.choice("ابج ") for _ in range(rng.randint(0, 9))) for _ in range(n)]
+    m, c = [*enumerate(names(60)), (60, ""), (61, None)], [(f"c{i:02}", x, i % 3) for i, x in enumerate([*names(70), "", None])]
+    monkeypatch.setattr(R, "PACK", 7)
+    mentions = spark.createDataFrame([(str(i), x) for i, x in m], "mention string, name_ar string")
+    known = spark.createDataFrame([(k, x, k, "x" if e else None) for k, x, e in c], "candidate string, name_ar string, seq string, external_id string")
+    assert R.likest_names(mentions.selectExpr("name_ar a"), known.selectExpr("name_ar b"), 60.0).count() < 62 * 72 / 4
+    want = {}
+    for i, x in m:
+        hits = [(-ratio(x, y), k) for k, y, e in c if e and x is not None and y is not None and x[:2] == y[:2] and ratio(x, y) >= 60]
+        if hits:
+            want[str(i)] = (min(hits)[1], -min(hits)[0] / 100)
+    assert {r["mention"]: (r["candidate"], r["score"]) for r in R.crossref_matches(mentions, known).collect()} == want
+
+
+def test_near_names_are_met_by_their_beginning_too(spark):
+    # Names that share a part but not their beginning are no pairs to be compared.
+    a = spark.createDataFrame([(f"{chr(0x627 + i)}{chr(0x627 + j)} عبد الله",) for i in range(8) for j in range(8)], "a string")
+    plan = R.near_names(a, a.withColumnRenamed("a", "b"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_p#" in next(line for line in plan.splitlines() if "Join" in line and "text#" in line)
+    assert R.near_names(a, a.withColumnRenamed("a", "b")).count() == 64
