@@ -279,3 +279,40 @@ def test_near_names_are_met_by_their_beginning_too(spark):
     plan = R.near_names(a, a.withColumnRenamed("a", "b"))._jdf.queryExecution().optimizedPlan().toString()
     assert "_p#" in next(line for line in plan.splitlines() if "Join" in line and "text#" in line)
     assert R.near_names(a, a.withColumnRenamed("a", "b")).count() == 64
+
+
+def test_sifting_leaves_out_no_like_names():
+    from khayt.functions.similarity import sifted
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("ابتجحد") for _ in range(rng.randint(1, 5)))
+    known = [word() for _ in range(12)]
+    names = ["", " ", *[" ".join(rng.choice(known) if rng.random() < 0.8 else word() for _ in range(rng.randint(1, 16))) for _ in range(150)]]
+    x, y = (v.ravel() for v in np.meshgrid(np.arange(len(names)), np.arange(len(names))))
+    may = sifted(names, x, y, 90.0, together=500)
+    alike = np.array([token_set_ratio(names[i], names[j]) >= 90 for i, j in zip(x, y, strict=True)])
+    assert alike.sum() > 200 and not (alike & ~may).any()
+    short = np.array([len(set(n.split())) <= 12 for n in names])
+    assert (may & short[x] & short[y]).sum() < 4 * (alike & short[x] & short[y]).sum()
+
+
+def test_mergeable_as_by_every_pair_of_names(spark):
+    rng = random.Random(6)
+    words = ["محمد", "بن", "علي", "الكوفي", "حسن", "حسين", "زيد", "الكوفيي", "ا"]
+    name = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(1, 5)))
+    rows = [(f"{i:02}", None if i == 3 else [name() for _ in range(rng.randint(0, 3))] + [None] * (i % 7 == 0), rng.choice([None, 100, 101, 130]), rng.choice([None, "uncorroborated"]), rng.choice([None, "male", "female"])) for i in range(40)]
+    r = spark.createDataFrame(rows, "id string, keys array<string>, death_year int, provenance string, gender string")
+    pairs = [(a[0], b[0]) for a in rows for b in rows if a[0] < b[0]]
+    kept = spark.createDataFrame([(x, y) for q in rows for p in rows for x in q[1] or [] for y in p[1] or []], "x string, y string").where("x is not null and y is not null").distinct()
+    order = {(k["x"], k["y"]): k["ok"] for k in kept.select("x", "y", R.order_kept(F.col("x"), F.col("y")).alias("ok")).collect()}
+    by = {x[0]: x for x in rows}
+    want = set()
+    for i, j in pairs:
+        a, b = by[i], by[j]
+        limit = R.GROSS_SPREAD if "uncorroborated" in (a[3], b[3]) else R.DEATH_TOLERANCE
+        if not (a[2] and b[2] and abs(a[2] - b[2]) > limit) and not (a[4] and b[4] and a[4] != b[4]):
+            if any(x and y and token_set_ratio(x, y) >= 90 and order[x, y] for x in a[1] or [] for y in b[1] or []):
+                want.add((i, j))
+    got = R.mergeable(r, spark.createDataFrame(pairs, "a string, b string"))
+    assert want and len(want) < len(pairs) and {tuple(x) for x in got.collect()} == want
+    assert "explode" not in got._jdf.queryExecution().optimizedPlan().toString()
