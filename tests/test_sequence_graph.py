@@ -40,6 +40,18 @@ def net(spark):
     return ids, edges, spark.createDataFrame([(i,) for i in ids], "id string"), spark.createDataFrame(edges, "from_id string, to_id string")
 
 
+def test_components_of_few_links_are_found_by_one_task(spark, net, monkeypatch):
+    _, _, _, e = net
+    path = spark.createDataFrame([(f"{(i * 37) % 101:03}", f"{((i + 1) * 37) % 101:03}") for i in range(100) if i % 30], "from_id string, to_id string")
+    stages = []
+    monkeypatch.setattr(G, "store", lambda df, what, kept=G.store: stages.append(what) or kept(df, what))
+    for edges in (e, path, path.limit(0)):
+        want = {tuple(r) for r in G.components(edges, few=-1).collect()}
+        stages.clear()
+        got = G.components(edges)
+        assert stages == ["links", "labels"] and {tuple(r) for r in got.collect()} == want
+
+
 def test_components_and_communities(spark, net):
     ids, edges, _, e = net
     root = {i: i for x in edges for i in x}
